@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import sys
-import uuid
 from collections.abc import Callable
 from pathlib import Path
 
@@ -17,7 +16,7 @@ from pairsift.functions.text import clean_token, decade_of, token_list  # noqa:
 from pairsift.operators import cleaning, counts, joins, ranking, scoring, stats  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
 from pairsift.sources import corpus, ngrams, results, stopwords  # noqa: E402
-from pairsift.stages import checkpoint_root  # noqa: E402
+from pairsift.stages import new_folder  # noqa: E402
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -156,7 +155,7 @@ def rejects(t: Tables) -> DataFrame:
 
 def stage_funnel(t: Tables) -> DataFrame:
     """Rows of every stage, all stages stored like in a run with a stage folder."""
-    keep = plan.keep_in(f"{checkpoint_root(t.spark)}/funnel-{uuid.uuid4().hex}")
+    keep = plan.keep_in(new_folder(t.spark, "funnel"))
     unigram_lines = keep("unigram_lines", t.unigram_lines())
     bigram_lines = keep("bigram_lines", t.bigram_lines())
     unigrams = plan.counted_words(unigram_lines, keep)

@@ -52,9 +52,8 @@ def without_stopword_rows(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The same against a table with a column ``w``, for lists of any length.
 
     There is no broadcast hint: Spark broadcasts the table if it is small by its
-    own measure and shuffles otherwise.
+    own measure and shuffles otherwise, where it can split a frequent word.
     """
-    listed = words.select("w").distinct()
     for word in ("w1", "w2"):
-        pairs = pairs.join(listed.withColumnRenamed("w", word), word, "left_anti")
+        pairs = pairs.join(words.select(F.col("w").alias(word)), word, "left_anti")
     return pairs.select("decade", "w1", "w2", "cnt")

@@ -6,41 +6,37 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def with_word_count(pairs: DataFrame, unigrams: DataFrame, word: str, count: str) -> DataFrame:
-    """``pairs`` with the count of the word in column ``word``; 0 if unknown.
-
-    Each pair meets at most one count, so nothing is multiplied. The join key
-    leads with a hash of decade and word, for two reasons. Sorting compares the
-    first key as a number before it looks at any word. And ``unigrams`` is mostly
-    fresh out of a ``groupBy("decade", "w")`` whose partitions the join would
-    take over; asking for others gives a plain shuffle on both sides, which is
-    what adaptive execution needs to split the partition of a word that owns a
-    large share of the pairs. The extra shuffle is over the smaller side, and the
-    joins on first and second word use the same.
+def look_up(pairs: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """``pairs`` left-joined to ``table``, which has each combination of keys once.
+
+    Nothing is multiplied, but one word or decade may own a large share of the
+    pairs. There is no broadcast hint: adaptive execution broadcasts the table if
+    it turns out small once computed. Otherwise it can split the partition of a
+    large key, as long as it sees a plain shuffle on both sides. The tables here
+    come out of a ``groupBy`` on the same keys, whose partitions the join would
+    take over as they are; the hash as one more key asks for a shuffle of its
+    own. That one is over the smaller side, and lookups in the same table by
+    different columns share it. Being first, the hash also lets sorts compare
+    numbers before they look at any word.
     """
-    keys = ["_key", "decade", word]
-    counted = unigrams.select(
-        F.xxhash64("decade", "w").alias("_key"),
-        "decade",
-        F.col("w").alias(word),
-        F.col("c").alias(count),
-    )
-    return (
-        pairs.withColumn("_key", F.xxhash64("decade", word))
-        .join(counted, keys, "left")
-        .select(*pairs.columns, F.coalesce(count, F.lit(0)).alias(count))
-    )
+    keyed = [df.withColumn("_key", F.xxhash64(*keys)) for df in (pairs, table)]
+    return keyed[0].join(keyed[1], ["_key", *keys], "left").drop("_key")
+
+
+def with_word_count(pairs: DataFrame, unigrams: DataFrame, word: str, count: str) -> DataFrame:
+    """``pairs`` with the count of the word in column ``word``; 0 if unknown."""
+    counted = unigrams.select("decade", F.col("w").alias(word), F.col("c").alias(count))
+    found = look_up(pairs, counted, ["decade", word])
+    return found.select(*pairs.columns, F.coalesce(count, F.lit(0)).alias(count))
 
 
 def with_totals(pairs: DataFrame, totals: DataFrame, strict: bool = True) -> DataFrame:
     """``pairs`` with ``n``, the number of words in their decade.
 
-    A decade without a total is an error, or gives NULL if not ``strict``. There
-    is no broadcast hint: totals have one row per decade, which adaptive
-    execution sees once they are summed, before the pairs would be shuffled.
+    A decade without a total is an error, or gives NULL if not ``strict``.
     """
     n = F.col("n")
     if strict:
         message = F.concat(F.lit("no unigrams for decade "), F.col("decade"))
         n = F.when(n.isNull(), F.raise_error(message)).otherwise(n)
-    return pairs.join(totals, "decade", "left").select(*pairs.columns, n.alias("n"))
+    return look_up(pairs, totals, ["decade"]).select(*pairs.columns, n.alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairsift.stages import checkpointed
+from pairsift.stages import new_folder, staged
 
 RANKED = ("decade", "rn", "score", "w1", "w2")
 
@@ -38,20 +38,21 @@ def rank_per_decade(scored: DataFrame) -> DataFrame:
     """``decade, rn, score, w1, w2`` of all pairs, however many a decade has.
 
     A window over the decade would sort it in one task. Here all pairs are
-    sorted by ranges instead, which cuts a large decade in many parts, and kept
-    in the checkpoint folder so that the parts stay what they are. A pair's rank
-    is its place in its part plus the size of the decade's earlier parts.
+    sorted by ranges instead, which cuts a large decade in many parts, and stored
+    with their place in the part. A pair's rank is that place plus the size of
+    the decade's earlier parts.
     """
-    in_order = scored.select("decade", "score", "w1", "w2").repartitionByRange(
-        "decade", *best_first()
+    in_order = (
+        scored.select("decade", "score", "w1", "w2")
+        .repartitionByRange("decade", *best_first())
+        .sortWithinPartitions("decade", *best_first())
     )
-    kept = checkpointed(in_order.sortWithinPartitions("decade", *best_first()))
-
     # The id holds the part number above 33 bits of row number.
-    row_id = F.monotonically_increasing_id()
-    numbered = kept.withColumn("row", row_id).withColumn("part", F.shiftright("row", 33))
+    numbered = in_order.withColumn("row", F.monotonically_increasing_id())
+    stored = staged(numbered, new_folder(scored.sparkSession, "ranked"))
+    stored = stored.withColumn("part", F.shiftright("row", 33))
 
-    parts = numbered.groupBy("decade", "part").agg(
+    parts = stored.groupBy("decade", "part").agg(
         F.min("row").alias("first_row"), F.count("*").alias("size")
     )
     earlier = Window.partitionBy("decade").orderBy("part").rowsBetween(
@@ -64,7 +65,7 @@ def rank_per_decade(scored: DataFrame) -> DataFrame:
         starts = F.broadcast(starts)
 
     return (
-        numbered.join(starts, ["decade", "part"])
+        stored.join(starts, ["decade", "part"])
         .withColumn("rn", F.col("row") + F.col("shift"))
         .select(*RANKED)
     )

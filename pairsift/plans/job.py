@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import argparse
-import uuid
 
 from pyspark.sql import SparkSession
 
 from pairsift.plans.collocations import collocations
 from pairsift.sources.ngrams import read_lines, read_sequence
 from pairsift.sources.results import write_results
-from pairsift.stages import checkpoint_root
+from pairsift.stages import new_folder
 
 
 def main(args: list[str] | None = None) -> None:
@@ -26,7 +25,7 @@ def main(args: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName("pairsift").getOrCreate()
     read = read_sequence if options.format == "sequence" else read_lines
-    stage_dir = options.stage_dir or f"{checkpoint_root(spark)}/pairsift-{uuid.uuid4().hex}"
+    stage_dir = options.stage_dir or new_folder(spark, "collocations")
     ranked = collocations(
         read(spark, options.unigrams), read(spark, options.bigrams), options.k, stage_dir=stage_dir
     )

@@ -3,41 +3,39 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster for checkpoints and stage tables.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stage tables that all machines share.
 
     It is the one the session names. A local session without one gets a
     temporary folder; on a cluster that would be a different folder on every
     machine, so there the setting is required.
     """
     context = spark.sparkContext
-    root = spark.conf.get(SETTING, None) or context.getCheckpointDir()
-    if root is None:
+    named = spark.conf.get(SETTING, None)
+    if named is None and context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="pairsift-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return root
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="pairsift-"))
+    return named or context.getCheckpointDir()
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read back from the checkpoint folder.
-
-    Its rows, their order and their partitions are then fixed, and a lost
-    executor costs a re-read, not a re-run.
-    """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def new_folder(spark: SparkSession, name: str) -> str:
+    """The path of a folder in the shared one that nobody else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, folder: str) -> DataFrame:
-    """``df`` written as a Parquet table and read back."""
+    """``df`` written as a Parquet table and read back.
+
+    What follows starts from the table: it has one set of rows for good, and a
+    lost executor costs a re-read, not a re-run.
+    """
     df.write.mode("overwrite").parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -1,0 +1,113 @@
+from pairsift.operators.cleaning import (
+    clean_bigrams,
+    clean_unigrams,
+    without_stopword_rows,
+    without_stopwords,
+)
+from pairsift.operators.stats import bigram_outcomes, rejects_by_reason, unigram_outcomes
+from pairsift.plans.collocations import counted_pairs, counted_words
+from pairsift.sources.ngrams import parse_ngrams, read_lines, split_bigrams
+from pairsift.sources.stopwords import english, hebrew, stop_words, stopword_table
+
+BIGRAMS = [
+    "united States|1995|7|3",
+    "United states,|1999|5",
+    "the dog|1995|9",
+    "one two three|1995|9",
+    "big dog|199x|9",
+    "big dog|1995|9.5",
+    "big dog|1995",
+    "big dog|1995|",
+    "big dog|1995|||",
+    "big dog|1995||5",
+    "תל אביב|2003|40",
+    "big  dog|1995| 4 ",
+    "x1y dog|1995|4",
+    "big dog|1995|-3",
+    "cat dog|1995|0",
+    "",
+    "|||",
+]
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_parse(lines):
+    got = rows(parse_ngrams(lines("a b|1995|7|3|x", "a b| 1995 | 7", "a|1995", "|1995|7", "a|b|7")))
+    assert got == [("", 1995, 7), ("a b", 1995, 7), ("a b", 1995, 7)]
+
+
+def test_bigram_counts(lines):
+    assert rows(counted_pairs(lines(*BIGRAMS))) == [
+        (1990, "big", "dog", 1),
+        (1990, "cat", "dog", 0),
+        (1990, "united", "states", 12),
+        (2000, "תל", "אביב", 40),
+    ]
+
+
+def test_outcomes_name_the_first_broken_rule(lines):
+    outcomes = bigram_outcomes(lines(*BIGRAMS), stop_words())
+    assert dict(outcomes.collect()) == {
+        "fields": 5,
+        "year": 1,
+        "tokens": 1,
+        "word": 1,
+        "stopword": 1,
+        "count": 2,
+        "accepted": 6,
+    }
+    assert "accepted" not in dict(rejects_by_reason(outcomes).collect())
+
+
+def test_unigrams_keep_stop_words_and_drop_phrases(lines):
+    unigrams = lines("The|1995|3", "the.|1991|4", "big dog|1995|9", "I|1995|9", "dog|x|1", "dog|1|y")
+    assert rows(counted_words(unigrams)) == [(1990, "the", 7)]
+    assert dict(unigram_outcomes(unigrams).collect()) == {
+        "accepted": 2,
+        "word": 2,
+        "year": 1,
+        "count": 1,
+    }
+
+
+def test_stop_word_lists(spark):
+    assert (len(english()), len(hebrew()), len(stop_words())) == (319, 149, 468)
+    assert len(set(hebrew())) == 149
+    assert stopword_table(spark).distinct().count() == 468
+
+
+def test_list_and_table_of_stop_words_agree(spark, lines):
+    clean = clean_bigrams(split_bigrams(parse_ngrams(lines(*BIGRAMS, "של דבר|1995|4", "big of|1995|3"))))
+    by_list = without_stopwords(clean, stop_words())
+    by_table = without_stopword_rows(clean, stopword_table(spark))
+    assert rows(by_list) == rows(by_table)
+    assert by_list.count() < clean.count()
+
+
+def test_own_stop_words(spark, lines):
+    bigrams = lines("big dog|1995|1", "the dog|1995|2")
+    assert rows(counted_pairs(bigrams, ["big"])) == [(1990, "the", "dog", 2)]
+    # Listed twice, dropped once; and nothing else is lost.
+    table = spark.createDataFrame([("big",), ("big",)], "w string")
+    assert rows(counted_pairs(bigrams, table)) == [(1990, "the", "dog", 2)]
+    assert len(rows(counted_pairs(bigrams, []))) == 2
+
+
+def test_text_files(spark, tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_bytes("a b\t1995\t7\r\nשלום\t2001\t3\n".encode())
+    assert rows(parse_ngrams(read_lines(spark, str(path)))) == [("a b", 1995, 7), ("שלום", 2001, 3)]
+
+
+def test_expressions_are_computed_once(lines, plan_of):
+    """Neither filter repeats the regular expressions of the parser."""
+    plan = plan_of(counted_pairs(lines(*BIGRAMS)))
+    assert plan.count("regexp_extract_all") == 2
+    assert plan.count("RLIKE") == 2
+
+
+def test_clean_unigrams_columns(lines):
+    assert clean_unigrams(parse_ngrams(lines("a|1|1"))).columns == ["decade", "w", "cnt"]
