@@ -14,6 +14,11 @@ from pairsift.sources.ngrams import field, line_fields
 ACCEPTED = "accepted"
 
 
+def full_fields(lines: DataFrame) -> DataFrame:
+    """The ``fields`` of lines; empty ones at the end of a line do not count."""
+    return lines.select(line_fields(F.rtrim("value", F.lit("\t"))).alias("fields"))
+
+
 def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
     """``reason, cnt``: what became of bigram lines, in one pass over them.
 
@@ -23,8 +28,8 @@ def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
     """
     words = list(words)
     fields, tokens = F.col("fields"), F.col("tokens")
-    read = lines.select(line_fields(F.col("value")).alias("fields"))
-    read = computed(read, token_list(field(fields, 0), 3).alias("tokens"), kept=("fields",))
+    read = full_fields(lines)
+    read = computed(read, token_list(field(fields, 0)).alias("tokens"), kept=("fields",))
     read = computed(
         read,
         field(fields, 2).isNull().alias("short"),
@@ -56,8 +61,7 @@ def unigram_outcomes(lines: DataFrame) -> DataFrame:
         .when(whole_number(field(fields, 2), "bigint").isNull(), "count")
         .otherwise(ACCEPTED)
     )
-    read = lines.select(line_fields(F.col("value")).alias("fields"))
-    return read.groupBy(reason.alias("reason")).agg(F.count("*").alias("cnt"))
+    return full_fields(lines).groupBy(reason.alias("reason")).agg(F.count("*").alias("cnt"))
 
 
 def rejects_by_reason(outcomes: DataFrame) -> DataFrame:

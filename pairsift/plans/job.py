@@ -18,6 +18,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("bigrams", help="folder or files of bigram lines")
     parser.add_argument("output", help="folder for the result lines; replaced")
     parser.add_argument("files", type=int, help="number of result files")
+    parser.add_argument("combiner", nargs="?", help="ignored: Spark always sums before it shuffles")
     parser.add_argument("-k", type=int, default=100, help="pairs per decade")
     parser.add_argument("--format", choices=["sequence", "text"], default="sequence")
     parser.add_argument("--stage-dir", help="folder for the count tables")

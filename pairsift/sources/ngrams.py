@@ -26,18 +26,17 @@ def read_sequence(spark: SparkSession, path: str) -> DataFrame:
     back, as Spark has no DataFrame reader for this format. For data read more
     than once, write the result as text or Parquet first.
     """
-    pairs = spark.sparkContext.sequenceFile(path, LONG_WRITABLE, TEXT_WRITABLE)
+    pairs = spark.sparkContext.sequenceFile(
+        path, LONG_WRITABLE, TEXT_WRITABLE, batchSize=1000
+    )
     return spark.createDataFrame(
         pairs.map(lambda pair: (pair[1],)), "value string", verifySchema=False
     )
 
 
 def line_fields(value: Column) -> Column:
-    """The fields of a line as an array, all after the third in one.
-
-    Empty fields at the end of a line do not count as fields.
-    """
-    return F.split(F.rtrim(value, F.lit("\t")), "\t", 4)
+    """The fields of a line as an array, all after the third in one."""
+    return F.split(value, "\t", 4)
 
 
 def field(fields: Column, position: int) -> Column:
@@ -62,7 +61,7 @@ def parse_ngrams(lines: DataFrame) -> DataFrame:
 
 def split_bigrams(ngrams: DataFrame) -> DataFrame:
     """``t1, t2, year, cnt`` of the n-grams that are two tokens long."""
-    tokens = token_list(F.col("ngram"), 3).alias("tokens")
+    tokens = token_list(F.col("ngram")).alias("tokens")
     return (
         computed(ngrams, tokens, kept=("year", "cnt"))
         .where(F.size("tokens") == 2)

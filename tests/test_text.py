@@ -93,15 +93,17 @@ def test_decade(spark):
 
 
 def test_trim_takes_control_characters_but_no_other_blanks(spark):
-    assert column(spark, ["\x00 a \x1f", " a", "a\x7f"], trimmed) == ["a", " a", "a\x7f"]
+    texts = ["\x00 a \x1f", "a ", "a\x01", "", " \t", "\u00a0a", "a\x7f"]
+    assert column(spark, texts, trimmed) == ["a", "a", "a", "", "", "\u00a0a", "a\x7f"]
 
 
 def test_token_list(spark):
-    texts = [" a  b\tc ", "a b c", "a", "", "a\x0bb\x0cc\rd\ne"]
+    texts = ["\x01 a  b\tc\x02 ", "a\u00a0b c", "a", "", "a \x01 b", "a\x0bb\x0cc\rd\ne"]
     assert column(spark, texts, token_list) == [
         ["a", "b", "c"],
-        ["a b", "c"],
+        ["a\u00a0b", "c"],
         ["a"],
-        [""],
+        [],
+        ["a", "\x01", "b"],
         ["a", "b", "c", "d", "e"],
     ]
