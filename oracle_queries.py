@@ -1,11 +1,17 @@
 """The registered queries once more, in SQL for DuckDB.
 
-Written from the rules and not from the Spark code: words are stripped at both
-ends and then tested, probabilities are clamped in a CASE, and so on.
+Written from the rules and not from the Spark code: a word is the only run of
+letters in a list of runs, a rank is a window over the decade, and so on.
 """
 
 from __future__ import annotations
 
+import zipfile
+from functools import cache
+from pathlib import Path
+
+import pyspark
+
 from pairsift.sources import stopwords
 
 LETTERS = r"a-z\x{0590}-\x{05FF}"
@@ -25,9 +31,8 @@ def _tokens(text: str) -> str:
 
 
 def _word(raw: str) -> str:
-    left = f"regexp_replace(lower({raw}), '^[^{LETTERS}]+', '')"
-    bare = f"regexp_replace({left}, '[^{LETTERS}]+$', '')"
-    return f"CASE WHEN regexp_full_match({bare}, '[{LETTERS}]{{2,}}') THEN {bare} END"
+    runs = f"regexp_extract_all(lower({raw}), '[{LETTERS}]+')"
+    return f"CASE WHEN len({runs}) = 1 AND length({runs}[1]) > 1 THEN {runs}[1] END"
 
 
 def _whole(text: str, type_name: str) -> str:
@@ -35,8 +40,19 @@ def _whole(text: str, type_name: str) -> str:
     return f"CASE WHEN regexp_full_match({digits}, '[+-]?[0-9]+') THEN TRY_CAST({digits} AS {type_name}) END"
 
 
+@cache
+def _english() -> list[str]:
+    """The English stop words, also where no Spark session is running."""
+    jars = Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar")
+    for jar in jars:
+        with zipfile.ZipFile(jar) as files:
+            words = files.read("org/apache/spark/ml/feature/stopwords/english.txt")
+        return stopwords.english(words.decode().split())
+    return stopwords.english()
+
+
 def _stop_list() -> str:
-    return ", ".join(map(_quoted, stopwords.stop_words()))
+    return ", ".join(map(_quoted, sorted({*_english(), *stopwords.hebrew()})))
 
 
 def _lines(table: str, id_column: str, text: str, prefix: str = "") -> list[str]:
@@ -206,7 +222,7 @@ def _funnel() -> str:
 def _stopword_counts() -> str:
     listed = " UNION ALL ".join(
         f"SELECT unnest([{', '.join(map(_quoted, words))}]) AS w, '{lang}' AS lang"
-        for lang, words in (("en", stopwords.english()), ("he", stopwords.hebrew()))
+        for lang, words in (("en", _english()), ("he", stopwords.hebrew()))
     )
     return _documents(
         "SELECT l.w, l.lang, coalesce(sum(u.c), 0)::BIGINT AS c"

@@ -6,6 +6,8 @@ codegen next to the scan.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,13 @@ LETTERS = r"a-z\x{0590}-\x{05FF}"
 PADDING = "".join(map(chr, range(0x21)))
 TOKEN = r"[^ \t\n\x0B\f\r]++"
 
+# The decimal digits of other scripts (of the first plane) and what they stand for.
+OTHER_DIGITS = {
+    sign: str(unicodedata.decimal(sign))
+    for sign in map(chr, range(0x80, 0x10000))
+    if unicodedata.category(sign) == "Nd"
+}
+
 # A token is good when its lower-cased form holds exactly one run of letters and
 # that run has two letters or more. The quantifiers are possessive: a long run
 # of digits or dashes is read once, never backtracked into.
@@ -33,11 +42,14 @@ def trimmed(text: Column) -> Column:
 def whole_number(text: Column, type_name: str) -> Column:
     """``text`` as an ``int`` or ``bigint``; NULL where it is not one.
 
-    Decimals, blanks and numbers too large for the type all give NULL. The cast
-    ignores the same characters at the ends as :func:`trimmed`, and U+007F,
+    Decimals, blanks and numbers too large for the type all give NULL. The
+    digits may be of any script; that is tried only if the plain cast fails. The
+    cast ignores the same characters at the ends as :func:`trimmed`, and U+007F,
     which is no blank.
     """
-    return F.when(~F.contains(text, F.lit("\x7f")), text.try_cast(type_name))
+    plain = F.translate(text, "".join(OTHER_DIGITS), "".join(OTHER_DIGITS.values()))
+    number = F.coalesce(text.try_cast(type_name), plain.try_cast(type_name))
+    return F.when(~F.contains(text, F.lit("\x7f")), number)
 
 
 def decade_of(year: Column) -> Column:

@@ -1,5 +1,6 @@
 import re
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import pytest
 
@@ -10,7 +11,7 @@ from pairsift.sources import corpus
 from pairsift.sources.ngrams import LONG_WRITABLE, TEXT_WRITABLE, parse_ngrams, read_sequence
 from pairsift.sources.results import result_lines, write_results
 from pairsift.sources.stopwords import stop_words
-from pairsift.stages import shared_folder
+from pairsift.stages import SETTING, shared_folder
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -172,7 +173,18 @@ def test_job(spark, line_tables, top, tmp_path, file_format):
     assert sorted(re.sub("\t.*\t", "\t", line) for line in got) == sorted(expected)
 
 
-def test_shared_folder_is_the_sessions(spark, conf):
-    conf("spark.app.name", "unrelated")
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    assert shared_folder(spark) == (named or spark.sparkContext.getCheckpointDir())
+def fake_session(master, named=None, set_before=None):
+    folders = [set_before]
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: folders[-1], setCheckpointDir=folders.append
+    )
+    return SimpleNamespace(conf={SETTING: named} if named else {}, sparkContext=context)
+
+
+def test_shared_folder():
+    assert shared_folder(fake_session("yarn", "hdfs://x")) == "hdfs://x"
+    assert shared_folder(fake_session("yarn", None, "hdfs://y")) == "hdfs://y"
+    with pytest.raises(ValueError, match=SETTING):
+        shared_folder(fake_session("yarn"))
+    local = fake_session("local[4]")
+    assert shared_folder(local) == shared_folder(local)

@@ -73,6 +73,10 @@ def test_long_run_of_other_signs_is_read_once(spark):
         ("", None),
         ("1 9", None),
         ("1995\x7f", None),
+        (" ١٩٩٥", 1995),
+        ("-１9９5", -1995),
+        ("१९.५", None),
+        ("²", None),
         (None, None),
     ],
 )
