@@ -167,7 +167,8 @@ def test_job(spark, line_tables, top, tmp_path, file_format):
         else:
             write_sequence(table, paths[-1])
     out = tmp_path / "out"
-    job.main([*paths, str(out), "2", "--format", file_format, "--stage-dir", str(tmp_path / "stages")])
+    stages = ["--stage-dir", str(tmp_path / "stages")]
+    job.main([*paths, str(out), "2", "1", "--format", file_format, *stages])
     got = sorted(line for f in out.glob("part-*") for line in f.read_text().splitlines())
     expected = [f"{decade}\t{w1},{w2}" for decade, _, _, w1, w2 in top]
     assert sorted(re.sub("\t.*\t", "\t", line) for line in got) == sorted(expected)
