@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries  # noqa: E402
-from pairsift.functions.text import clean_token, decade_of, token_list  # noqa: E402
+from pairsift.functions.text import clean_token, decade_of  # noqa: E402
 from pairsift.operators import cleaning, counts, joins, ranking, scoring, stats  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
 from pairsift.sources import corpus, ngrams, results, stopwords  # noqa: E402
@@ -55,19 +55,12 @@ class Tables:
 
     def joined(self) -> DataFrame:
         """Pairs with both word counts and the decade total."""
-        unigrams = self.unigrams()
-        return with_counts(self.pairs(), unigrams, unigrams)
+        return plan.joined_pairs(self.unigrams(), self.pairs())
 
     def scored(self) -> DataFrame:
         return rounded(scoring.with_score(self.joined()), "score")
 
 
-def with_counts(pairs: DataFrame, unigrams: DataFrame, total_of: DataFrame) -> DataFrame:
-    pairs = joins.with_word_count(pairs, unigrams, "w1", "c1")
-    pairs = joins.with_word_count(pairs, unigrams, "w2", "c2")
-    return joins.with_totals(pairs, counts.decade_totals(total_of))
-
-
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     """Two engines agree on a logarithm up to its last digits only."""
     return df.withColumns({name: F.round(name, DECIMALS) for name in names})
@@ -107,17 +100,15 @@ def other_corpus(t: Tables) -> DataFrame:
     of the score comes up.
     """
     spoken = plan.counted_words(corpus.unigram_lines(t.texts("conversations", "conv_id")))
-    joined = with_counts(t.pairs(), spoken, spoken)
-    return rounded(
-        joined.withColumn("score", scoring.g2(*map(F.col, scoring.COUNTS))), "score"
-    )
+    score = scoring.g2(*map(F.col, scoring.COUNTS))
+    return rounded(plan.joined_pairs(spoken, t.pairs()).withColumn("score", score), "score")
 
 
 def products_top(t: Tables) -> DataFrame:
     """Top pairs of the two-word product names, weighted by the quantity sold."""
     words, names = corpus.product_lines(t.table("lineitem"), t.table("part"))
-    pairs = plan.counted_pairs(names)
-    return ranking.topk_per_decade(rounded(plan.scored_pairs(plan.counted_words(words), pairs), "score"))
+    scored = plan.scored_pairs(plan.counted_words(words), plan.counted_pairs(names))
+    return ranking.topk_per_decade(rounded(scored, "score"))
 
 
 def pages_top(t: Tables) -> DataFrame:
@@ -125,8 +116,8 @@ def pages_top(t: Tables) -> DataFrame:
     pages = t.table("pages").select("page_id", F.col("html").alias("text"))
     texts = corpus.texts(pages, "page_id")
     unigrams = plan.counted_words(corpus.unigram_lines(texts))
-    pairs = plan.counted_pairs(corpus.bigram_lines(texts))
-    return ranking.topk_per_decade(rounded(plan.scored_pairs(unigrams, pairs), "score"))
+    scored = plan.scored_pairs(unigrams, plan.counted_pairs(corpus.bigram_lines(texts)))
+    return ranking.topk_per_decade(rounded(scored, "score"))
 
 
 def mixed_lines(t: Tables) -> DataFrame:

@@ -71,7 +71,8 @@ def _lines(table: str, id_column: str, text: str, prefix: str = "") -> list[str]
 def _counts(prefix: str = "") -> list[str]:
     """CTEs from lines to counted words and pairs."""
     return [
-        f"{prefix}uw AS (SELECT trunc(year / 10)::INT * 10 AS decade, {_word('ngram')} AS w, cnt FROM {prefix}uni)",
+        f"{prefix}uw AS (SELECT trunc(year / 10)::INT * 10 AS decade, {_word('ngram')} AS w, cnt"
+        f" FROM {prefix}uni)",
         f"{prefix}words AS (SELECT * FROM {prefix}uw WHERE w IS NOT NULL)",
         f"{prefix}unigrams AS (SELECT decade, w, sum(cnt)::BIGINT AS c FROM {prefix}words GROUP BY ALL)",
         f"{prefix}totals AS (SELECT decade, sum(c)::BIGINT AS n FROM {prefix}unigrams GROUP BY ALL)",
@@ -89,7 +90,8 @@ def _counts(prefix: str = "") -> list[str]:
 
 def _joined(unigrams: str = "unigrams", totals: str = "totals") -> str:
     return (
-        "joined AS (SELECT b.decade, b.w1, b.w2, c12, coalesce(a1.c, 0) AS c1, coalesce(a2.c, 0) AS c2, n"
+        "joined AS (SELECT b.decade, b.w1, b.w2, c12, coalesce(a1.c, 0) AS c1,"
+        " coalesce(a2.c, 0) AS c2, n"
         f" FROM pairs b LEFT JOIN {unigrams} a1 ON (a1.decade, a1.w) = (b.decade, b.w1)"
         f" LEFT JOIN {unigrams} a2 ON (a2.decade, a2.w) = (b.decade, b.w2)"
         f" LEFT JOIN {totals} t ON t.decade = b.decade)"

@@ -50,11 +50,16 @@ def counted_pairs(
     return keep("bigram_counts", bigram_counts(pairs))
 
 
-def scored_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
-    """``decade, w1, w2, score`` from counted words and pairs."""
+def joined_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
+    """``decade, w1, w2, c12, c1, c2, n`` from counted words and pairs."""
     joined = with_word_count(pairs, unigrams, "w1", "c1")
     joined = with_word_count(joined, unigrams, "w2", "c2")
-    return with_score(with_totals(joined, decade_totals(unigrams), strict))
+    return with_totals(joined, decade_totals(unigrams), strict)
+
+
+def scored_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
+    """``decade, w1, w2, score`` from counted words and pairs."""
+    return with_score(joined_pairs(unigrams, pairs, strict))
 
 
 def collocations(
