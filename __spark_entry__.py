@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,14 +34,15 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def texts(self, table: str = "documents", id_column: str = "doc_id") -> DataFrame:
-        return corpus.texts(self.table(table), id_column)
+    @cached_property
+    def documents(self) -> DataFrame:
+        return corpus.texts(self.table("documents"), "doc_id")
 
     def unigram_lines(self) -> DataFrame:
-        return corpus.unigram_lines(self.texts())
+        return corpus.unigram_lines(self.documents)
 
     def bigram_lines(self) -> DataFrame:
-        return corpus.bigram_lines(self.texts())
+        return corpus.bigram_lines(self.documents)
 
     def unigrams(self) -> DataFrame:
         return plan.counted_words(self.unigram_lines())
@@ -74,8 +76,8 @@ def decade_bucket(t: Tables) -> DataFrame:
 
 
 def clean_tokens(t: Tables) -> DataFrame:
-    raw = t.texts().select(F.explode_outer("tokens").alias("raw")).where("raw != ''").distinct()
-    return raw.select("raw", clean_token(F.col("raw")).alias("token"))
+    raw = t.documents.select(F.explode_outer("tokens").alias("raw"))
+    return raw.where("raw != ''").distinct().select("raw", clean_token(F.col("raw")).alias("token"))
 
 
 def stopwords_dim(t: Tables) -> DataFrame:
@@ -99,7 +101,8 @@ def other_corpus(t: Tables) -> DataFrame:
     Many words are unknown there or rarer than the pair, so that every odd case
     of the score comes up.
     """
-    spoken = plan.counted_words(corpus.unigram_lines(t.texts("conversations", "conv_id")))
+    talks = corpus.texts(t.table("conversations"), "conv_id")
+    spoken = plan.counted_words(corpus.unigram_lines(talks))
     score = scoring.g2(*map(F.col, scoring.COUNTS))
     return rounded(plan.joined_pairs(spoken, t.pairs()).withColumn("score", score), "score")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import clean_token, computed, decade_of
@@ -36,6 +36,17 @@ def clean_bigrams(bigrams: DataFrame) -> DataFrame:
     return pairs.where("decade is not null and w1 is not null and w2 is not null")
 
 
+def one_of(column: str, words: Iterable[str]) -> Column:
+    """Whether a column of clean words holds one of ``words``.
+
+    Written as SQL: a column object for each of some hundred words takes longer
+    to build than to run on a small input. Words with a quote or a backslash are
+    left out, which no clean word has.
+    """
+    listed = ", ".join(f"'{word}'" for word in words if not {"'", "\\"} & set(word))
+    return F.expr(f"{column} IN ({listed})") if listed else F.lit(False)
+
+
 def without_stopwords(pairs: DataFrame, words: Iterable[str]) -> DataFrame:
     """Pairs neither of whose words is in ``words``.
 
@@ -44,7 +55,7 @@ def without_stopwords(pairs: DataFrame, words: Iterable[str]) -> DataFrame:
     the decade totals need the counts of all words, count the words twice.
     """
     words = list(words)
-    found = [F.col(word).isin(words).cast("int") for word in ("w1", "w2")]
+    found = [one_of(word, words).cast("int") for word in ("w1", "w2")]
     return pairs.where(found[0] + found[1] == 0)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import clean_token, computed, token_list, whole_number
+from pairsift.operators.cleaning import one_of
 from pairsift.sources.ngrams import field, line_fields
 
 ACCEPTED = "accepted"
@@ -44,7 +45,7 @@ def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
         .when(F.col("year").isNull(), "year")
         .when(F.col("tokens") != 2, "tokens")
         .when(F.col("w1").isNull() | F.col("w2").isNull(), "word")
-        .when(F.col("w1").isin(words) | F.col("w2").isin(words), "stopword")
+        .when(one_of("w1", words) | one_of("w2", words), "stopword")
         .when(F.col("cnt").isNull(), "count")
         .otherwise(ACCEPTED)
     )

@@ -94,6 +94,8 @@ def test_own_stop_words(spark, lines):
     table = spark.createDataFrame([("big",), ("big",)], "w string")
     assert rows(counted_pairs(bigrams, table)) == [(1990, "the", "dog", 2)]
     assert len(rows(counted_pairs(bigrams, []))) == 2
+    assert rows(counted_pairs(bigrams, ["it's", "a\\", "the", "'"])) == [(1990, "big", "dog", 1)]
+    assert len(rows(counted_pairs(bigrams, ["it's"]))) == 2
 
 
 def test_text_files(spark, tmp_path):
