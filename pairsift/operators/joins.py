@@ -14,13 +14,16 @@ def look_up(pairs: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     it turns out small once computed. Otherwise it can split the partition of a
     large key, as long as it sees a plain shuffle on both sides. The tables here
     come out of a ``groupBy`` on the same keys, whose partitions the join would
-    take over as they are; the hash as one more key asks for a shuffle of its
-    own. That one is over the smaller side, and lookups in the same table by
-    different columns share it. Being first, the hash also lets sorts compare
-    numbers before they look at any word.
+    take over as they are; comparing a hash of the keys first (it adds nothing to
+    the match and is not stored) asks for a shuffle of its own. That one is over
+    the smaller side, and lookups in the same table by different columns share it.
     """
-    keyed = [df.withColumn("_key", F.xxhash64(*keys)) for df in (pairs, table)]
-    return keyed[0].join(keyed[1], ["_key", *keys], "left").drop("_key")
+    sides = [[F.col(f"{side}.{key}") for key in keys] for side in ("pair", "row")]
+    same = F.xxhash64(*sides[0]) == F.xxhash64(*sides[1])
+    for left, right in zip(*sides):
+        same = same & (left == right)
+    found = [f"row.{name}" for name in table.columns if name not in keys]
+    return pairs.alias("pair").join(table.alias("row"), same, "left").select("pair.*", *found)
 
 
 def with_word_count(pairs: DataFrame, unigrams: DataFrame, word: str, count: str) -> DataFrame:
