@@ -11,6 +11,19 @@ from pairsift.sources.ngrams import read_lines, read_sequence
 from pairsift.sources.results import write_results
 from pairsift.stages import new_folder
 
+# Lets adaptive execution join by hashing where every partition of a looked-up
+# table is this small, which saves sorting the pairs. Other partitions are sorted.
+SETTINGS = {"spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB"}
+
+
+def session() -> SparkSession:
+    """The session, with :data:`SETTINGS` unless it was started with others."""
+    spark = SparkSession.builder.appName("pairsift").getOrCreate()
+    for name, value in SETTINGS.items():
+        if not spark.sparkContext.getConf().contains(name):
+            spark.conf.set(name, value)
+    return spark
+
 
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
@@ -24,7 +37,7 @@ def main(args: list[str] | None = None) -> None:
     parser.add_argument("--stage-dir", help="folder for the count tables")
     options = parser.parse_args(args)
 
-    spark = SparkSession.builder.appName("pairsift").getOrCreate()
+    spark = session()
     read = read_sequence if options.format == "sequence" else read_lines
     stage_dir = options.stage_dir or new_folder(spark, "collocations")
     ranked = collocations(

@@ -87,7 +87,13 @@ def joined(pairs, lines):
     return with_totals(got, decade_totals(unigrams))
 
 
-def test_hot_words_and_decades_are_split(spark, plan_of, shuffle_joins, small_parts, conf):
+@pytest.mark.parametrize(
+    ("join", "hashed_up_to"), [("SortMergeJoin", "0"), ("ShuffledHashJoin", "64MB")]
+)
+def test_hot_words_and_decades_are_split(
+    spark, plan_of, shuffle_joins, small_parts, conf, join, hashed_up_to
+):
+    conf("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", hashed_up_to)
     conf("spark.sql.shuffle.partitions", "20")
     # Small shuffles would be read by a single task, whose output cannot be split.
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -96,7 +102,7 @@ def test_hot_words_and_decades_are_split(spark, plan_of, shuffle_joins, small_pa
     assert sorted(map(tuple, got.collect())) == expected_counts(pairs, lines)
     plan = plan_of(got)
     # Both words and the decade.
-    assert plan.count("SortMergeJoin(skew=true)") == 3
+    assert plan.count(f"{join}(skew=true)") == 3
 
 
 def test_small_tables_are_broadcast(spark, plan_of):
