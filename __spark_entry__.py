@@ -19,6 +19,14 @@ from pairsift.plans import collocations as plan  # noqa: E402
 from pairsift.sources import corpus, ngrams, results, stopwords  # noqa: E402
 from pairsift.stages import new_folder  # noqa: E402
 
+try:  # the subpackage for training data and its pipeline can be taken out
+    import corpus_pipeline
+    from pairsift.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "pairsift.llm"):
+        raise
+    llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 DECIMALS = 4
@@ -228,9 +236,17 @@ def queries() -> dict[str, Query]:
     def query(run: Callable[[Tables], DataFrame]) -> Query:
         return lambda spark, folder: run(Tables(spark, folder))
 
-    return {name: query(run) for name, run in QUERIES.items()}
+    found = {name: query(run) for name, run in QUERIES.items()}
+    if llm_queries is not None:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
     """SQL for DuckDB; for every query that has no result of Spark's own making."""
-    return oracle_queries.all_sql()
+    found = oracle_queries.all_sql()
+    if llm_queries is not None:
+        found |= llm_queries.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
