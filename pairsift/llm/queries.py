@@ -2,12 +2,26 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 
-from pairsift.llm import exact_dedup, licenses, mixing, sharding, sql
+from pairsift.llm import (
+    byte_bpe,
+    exact_dedup,
+    fingerprints,
+    language,
+    licenses,
+    mixing,
+    sharding,
+    sql,
+    word_pieces,
+)
 from pairsift.llm.common import table
 
 SHARDS = {shard: 1.0 for shard in range(8)}
+RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 GROWN = {shard: 1.0 for shard in range(9)}
 
 
@@ -23,17 +37,47 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.dedup(documents(spark, folder))
 
 
+def op4_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify(documents(spark, folder))
+
+
 def op5_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(documents(spark, folder))
 
 
+def op6_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(RANKS)
+    return byte_bpe.encode_digests(documents(spark, folder), path, public_tokenizers.PATTERN)
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(PIECES))
+    numbers = range(model.get_piece_size())
+    plain = [i for i in numbers if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    vocabulary = [model.id_to_piece(i) for i in plain]
+    return word_pieces.count_pieces(documents(spark, folder), vocabulary, PIECES)
+
+
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.compare_with_edits(documents(spark, folder))
+
+
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_sharding, op3_exact_dedup, op5_mixing, op10_license_scan)
+    for f in (
+        op2_sharding,
+        op3_exact_dedup,
+        op4_language_id,
+        op5_mixing,
+        op6_byte_bpe,
+        op7_token_counts,
+        op8_fingerprints,
+        op10_license_scan,
+    )
 }
 
 
