@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -11,7 +10,7 @@ import pyarrow as pa
 import regex
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
@@ -152,7 +151,17 @@ def learn(
     return model
 
 
-PREDICTIONS = "doc_id long, held_out boolean, lang_pred string, score double"
+def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
+    """The prediction ``lang_pred, score`` for a text column."""
+    shared = spark.sparkContext.broadcast(model)
+    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
+
+    def predict(texts: pa.Array) -> pa.Array:
+        found = [shared.value.predict(body.as_py()) for body in texts]
+        return pa.array([{"lang_pred": x, "score": round(score, 6)} for x, score in found], kind)
+
+    # Not deterministic for the planner, which would predict again for each use.
+    return F.arrow_udf(predict, "lang_pred string, score double").asNondeterministic()(text)
 
 
 def identify(
@@ -169,24 +178,21 @@ def identify(
     """
     if model is None:
         model = learn(docs, doc_id=doc_id, text=text, **options)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.predict(body.as_py()) for body in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    batch.column(1),
-                    pa.array([lang for lang, _ in found], pa.string()),
-                    pa.array([round(score, 6) for _, score in found], pa.float64()),
-                ],
-                ["doc_id", "held_out", "lang_pred", "score"],
-            )
-
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         held_out(doc_id).alias("held_out"),
-        whole_text(text).alias("text"),
+        predicted(docs.sparkSession, model, whole_text(text)).alias("found"),
     )
-    return rows.mapInArrow(predict, PREDICTIONS)
+    return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")
+
+
+def accepted(docs: DataFrame, least_score: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is in a language, all columns.
+
+    Texts that are ``und``, and those for which no language scores ``least_score``, go.
+    """
+    model = learn(docs, doc_id=doc_id, text=text)
+    found = predicted(docs.sparkSession, model, whole_text(text))
+    rows = docs.select(F.struct("*").alias("_row"), found.alias("_found"))
+    sure = (F.col("_found.lang_pred") != UNDETERMINED) & (F.col("_found.score") >= least_score)
+    return rows.where(sure).select("_row.*")

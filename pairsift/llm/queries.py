@@ -14,7 +14,9 @@ from pairsift.llm import (
     licenses,
     mixing,
     sharding,
+    simhash,
     sql,
+    substrings,
     word_pieces,
 )
 from pairsift.llm.common import table
@@ -29,6 +31,10 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents")
 
 
+def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, folder))
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(documents(spark, folder), SHARDS, GROWN)
 
@@ -62,6 +68,10 @@ def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.compare_with_edits(documents(spark, folder))
 
 
+def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.dedup(documents(spark, folder)).drop("kept_text")
+
+
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
@@ -69,6 +79,7 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_simhash,
         op2_sharding,
         op3_exact_dedup,
         op4_language_id,
@@ -76,6 +87,7 @@ QUERIES = {
         op6_byte_bpe,
         op7_token_counts,
         op8_fingerprints,
+        op9_substring_dedup,
         op10_license_scan,
     )
 }
