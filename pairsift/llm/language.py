@@ -126,7 +126,7 @@ def learn(
     does not grow with the table. Rows without a text, a letter, a language or an id
     teach nothing.
     """
-    able = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    able = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     counts = {row[0]: row[1] for row in able.groupBy(lang).count().collect()}
     model = Model(list(counts))
     if not counts:
@@ -136,8 +136,7 @@ def learn(
         share = F.when(F.col(lang) == name, min(1.0, per_language / count)).otherwise(share)
     draw = (F.xxhash64(F.lit("learn"), F.col(doc_id)) / 2.0**64) + 0.5
     vector = F.udf(lambda t: features(t).tolist(), "array<float>", useArrow=True)
-    drawn = able.where((draw < share) & F.col(text).rlike(r"\p{L}"))
-    sample = kept(drawn.select(F.col(lang).alias("lang"), vector(F.col(text)).alias("x")), "language_sample")
+    sample = kept(able.where(draw < share).select(F.col(lang).alias("lang"), vector(F.col(text)).alias("x")), "language_sample")
     sample = sample.select("lang", array_to_vector("x").alias("x")).coalesce(8).persist()
     for a, b, ours, theirs in model.pairs():
         duel = sample.where(F.col("lang").isin(ours + theirs)).select(

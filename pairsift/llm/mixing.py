@@ -61,7 +61,8 @@ def rake(
     Starts from ``share`` of every cell and scales to one marginal after another,
     ``sweeps`` times. ``targets`` holds ``category, target`` for each dimension; only
     the proportions of the targets count. No cell can give more tokens than it has;
-    what it lacks, others of the same marginal give in later sweeps. A category
+    what it lacks, others of the same marginal give in later sweeps. Targets that the
+    cells cannot meet together leave the last dimension closest to its own. A category
     without a target gives nothing, a target of a category without tokens asks for
     nothing. Cells may be many, so they stay a table; one number per dimension
     comes to the driver.

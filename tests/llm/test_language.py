@@ -1,0 +1,71 @@
+import zlib
+
+import numpy as np
+
+from pairsift.llm import language, queries
+from pairsift.llm.common import table
+from tests.llm.helpers import documents, odd_rows, with_clashes
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+def test_accuracy_on_documents_held_out(spark):
+    found = queries.QUERIES["op4_language_id"](spark, FOLDER)
+    rows = found.join(table(spark, FOLDER, "documents").select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    right = [r.lang_pred == r.lang for r in rows if r.held_out]
+    assert len(right) > 200 and sum(right) / len(right) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_no_label_of_a_held_out_document_is_learnt(spark):
+    docs = table(spark, FOLDER, "documents")
+    wrong = docs.withColumn("lang", language.F.when(language.held_out("doc_id"), "xx").otherwise(docs.lang))
+    assert set(sum(language.learn(wrong, per_language=50).groups.values(), [])) == {"de", "en", "es", "fr"}
+
+
+def test_odd_rows(spark):
+    model = language.learn(table(spark, FOLDER, "documents"), per_language=100)
+    rows = odd_rows() + [(500, "123 ... 456"), (501, "The house is there")]
+    found = language.identify(with_clashes(documents(spark, rows)), model).collect()
+    assert len(found) == len(rows)
+    und = {r.doc_id for r in found if r.lang_pred == "und"}
+    assert und == {400, 401, 402, 500, None} - {None} | ({None} if None in und else set())
+    assert all(r.held_out for r in found if r.doc_id is None)
+    assert all(r.score == 0 for r in found if r.lang_pred == "und")
+
+
+def test_nothing_to_learn(spark):
+    docs = documents(spark, [(1, None), (2, "text", None), (3, "")])
+    assert {r.lang_pred for r in language.identify(docs).collect()} == {"und"}
+    assert language.identify(docs.where("doc_id > 9")).collect() == []
+
+
+def test_one_language(spark):
+    docs = documents(spark, [(i, "some words") for i in range(20)])
+    assert {r.lang_pred for r in language.identify(docs).collect()} == {"en"}
+
+
+def test_families_are_decided_first():
+    model = language.Model(["en", "de", "fr", "es", "xx"])
+    assert model.groups == {"germanic": ["de", "en"], "romance": ["es", "fr"], "xx": ["xx"]}
+    assert ("de", "en") in [(a, b) for a, b, *_ in model.pairs()]
+    assert ("de", "fr") not in [(a, b) for a, b, *_ in model.pairs()]
+
+
+def test_features_of_a_long_text(monkeypatch):
+    text = "Some letters äöü and more " * 50
+    whole = language.features(text)
+    monkeypatch.setattr(language, "BLOCK", 7)
+    assert np.allclose(language.features(text), whole)
+
+
+def test_accepted(spark):
+    docs = with_clashes(table(spark, FOLDER, "documents"))
+    junk = documents(spark, [(90001, "12 34"), (90002, None), (90003, "")]).selectExpr(
+        *[c if c in ("doc_id", "text", "lang", "source", "n_chars") else f"'x' AS {c}" for c in docs.columns]
+    )
+    left = language.accepted(docs.unionByName(junk))
+    assert left.columns == docs.columns
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == list(range(1000))

@@ -1,0 +1,233 @@
+"""Sharding, exact dedup, mixing and license scans, which SQL can check on tables."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from pairsift.llm import exact_dedup, licenses, mixing, queries, sharding, sql
+from pairsift.llm.common import table
+from tests.llm.helpers import documents, got, odd_rows, with_clashes
+from verify_oracle import compare
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_against_sql(spark, name):
+    result = compare(spark, FOLDER, name)
+    assert result.startswith("ok"), result
+
+
+@pytest.mark.parametrize("name", ["op2_sharding", "op3_exact_dedup", "op5_mixing", "op8_fingerprints", "op10_license_scan"])
+def test_no_python_in_the_plan(spark, name):
+    plan = queries.QUERIES[name](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_sharding_odd_rows(spark):
+    rows = odd_rows()
+    result = sharding.place(with_clashes(documents(spark, rows)), queries.SHARDS, queries.GROWN, slot_buckets=4)
+    found = result.collect()
+    expect = Counter((i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows)
+    assert Counter((r.doc_id, r["size"], r.text_crc32) for r in found) == expect
+    slots, shards = defaultdict(list), defaultdict(set)
+    for r in found:
+        slots[r.shard].append(r.slot)
+        shards[r.doc_id].add((r.shard, r.grown_shard))
+        assert r.grown_shard in (r.shard, 8)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert all(len(s) == 1 for s in shards.values())
+
+
+def test_sharding_follows_weights(spark):
+    docs = documents(spark, [(i, "x") for i in range(6000)])
+    found = Counter(r.shard for r in sharding.place(docs, {0: 1.0, 1: 2.0, 5: 3.0, 7: 0.0}).collect())
+    assert set(found) == {0, 1, 5}
+    assert abs(found[5] - 3000) < 200 and abs(found[1] - 2000) < 200
+    with pytest.raises(ValueError):
+        sharding.place(docs, {1: 0.0})
+
+
+def test_sharding_change_of_weight_moves_little(spark):
+    docs = documents(spark, [(i, "x") for i in range(4000)])
+    moved = sharding.place(docs, {0: 1.0, 1: 1.0, 2: 1.0}, {0: 1.0, 1: 1.0, 2: 1.5}).where("shard <> grown_shard")
+    assert {r.grown_shard for r in moved.collect()} == {2}
+    assert 300 < moved.count() < 600  # 1.5 / 3.5 - 1 / 3 of the rows are 381
+
+
+def test_dedup_odd_rows(spark):
+    rows = odd_rows()
+    groups = defaultdict(list)
+    for doc_id, text in rows:
+        groups[text or ""].append(doc_id)
+    expect = []
+    for doc_id, text in rows:
+        ids = [i for i in groups[text or ""] if i is not None]
+        keep = max(ids) if ids else None
+        digest = hashlib.sha256((text or "").encode()).hexdigest()
+        expect.append((doc_id, keep, len(groups[text or ""]), doc_id == keep, digest))
+    docs = with_clashes(documents(spark, rows))
+    assert got(exact_dedup.dedup(docs)) == sorted(expect, key=repr)
+    left = exact_dedup.survivors(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.text or "") for r in left.collect()) == sorted(groups)
+
+
+def test_dedup_in_batches(spark, tmp_path):
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=3)
+    first = documents(spark, [(1, "a"), (2, "a"), (3, "b")])
+    second = documents(spark, [(4, "b"), (5, "c"), (6, "c"), (7, None), (8, "")])
+    ask = lambda docs, batch: [(r.doc_id, r.keep_id, r.kept) for r in sorted(exact_dedup.dedup(docs, index, batch).collect())]
+    one = [(1, 2, False), (2, 2, True), (3, 3, True)]
+    two = [(4, 3, False), (5, 6, False), (6, 6, True), (7, 8, False), (8, 8, True)]
+    assert ask(first, "1") == one
+    assert ask(second, "2") == two
+    assert ask(second, "2") == two  # a batch that comes again
+    assert sorted(r.keep_id for r in index.rows().collect()) == [2, 3, 6, 8]
+    index.close()
+
+
+def test_index_is_not_shuffled(spark, conf, tmp_path):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    index = exact_dedup.DigestIndex(spark, str(tmp_path / "index"), buckets=4)
+    index.append(spark.sql("SELECT unhex(sha2(string(id), 256)) AS digest, id AS keep_id FROM range(50)"), "1")
+    groups = spark.sql("SELECT unhex(sha2(string(id), 256)) AS digest FROM range(90)").groupBy("digest").count()
+    fresh = groups.hint("merge").join(index.rows().hint("merge"), "digest", "left_anti")
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert fresh.count() == 40
+    assert "SortMergeJoin" in plan and plan.count("Exchange") == 1
+    index.close()
+
+
+def test_mixing_odd_rows(spark):
+    rows = [(i, t, [None, "en", "de"][n % 3]) for n, (i, t) in enumerate(odd_rows())]
+    docs = with_clashes(documents(spark, rows))
+    result = mixing.mix(docs)
+    found = result.collect()
+    assert Counter(r.doc_id for r in found) == Counter(r[0] for r in rows)
+    assert all(0 <= r.probability <= 1 and r.n_tokens >= 1 for r in found)
+    assert {r.lang for r in found} == {"?", "en", "de"}
+    left = mixing.sampled_rows(docs)
+    assert left.columns == docs.columns
+    drawn = {r.doc_id for r in found if r.sampled and r.doc_id is not None}
+    assert {r.doc_id for r in left.collect()} - {None} == drawn
+
+
+def test_mixing_meets_its_targets(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    wanted = {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}
+    result = mixing.mix(docs, {"lang": wanted}, share=0.2).cache()
+    total = result.selectExpr("sum(n_tokens) AS n").first().n
+    expected = result.groupBy("lang").agg({"lang": "max"}).select("lang")
+    shares = result.selectExpr("lang", "probability * n_tokens AS t").groupBy("lang").sum("t").collect()
+    assert expected.count() == 4
+    for lang, tokens in shares:
+        assert abs(tokens / (0.2 * total) - wanted[lang]) < 0.01
+    drawn, mean, variance = result.selectExpr(
+        "sum(if(sampled, n_tokens, 0))",
+        "sum(probability * n_tokens)",
+        "sum(probability * (1 - probability) * n_tokens * n_tokens)",
+    ).first()
+    assert abs(drawn - mean) < 4 * variance**0.5
+    result.unpersist()
+
+
+def test_rake_without_a_solution(spark):
+    """No cell gives more than it has, a target without tokens asks for nothing."""
+    cells = spark.createDataFrame([("a", "x", 10), ("b", "x", 90)], "p string, q string, tokens long")
+    goals = {
+        "p": spark.createDataFrame([("a", 0.9), ("b", 0.1), ("c", 5.0)], "p string, target double"),
+        "q": spark.createDataFrame([("x", 1.0)], "q string, target double"),
+    }
+    raked = {r.p: r.wanted for r in mixing.rake(cells, goals, 0.5, sweeps=30).collect()}
+    assert raked == {"a": pytest.approx(10), "b": pytest.approx(50 / 3)}
+
+
+NOTICE = """# Redistribution and use in source and binary forms, with or without
+# modification, are permitted provided that the following conditions are met:
+# 1. Redistributions of source code must retain the above copyright notice,
+#    this list of conditions and the following disclaimer.
+# 2. Redistributions in binary form must reproduce the above copyright
+#    notice, this list of conditions and the following disclaimer in the
+#    documentation and/or other materials provided with the distribution.
+"""
+CASES = [
+    ("word\nReleased under the MIT License.", "MIT", "known"),
+    ("No end here\nLicensed under  the APACHE License, version 2.0.\nmore", "Apache-2.0", "known"),
+    ("Licensed under CC BY-NC 4.0. Licensed under the MIT License.", "CC-BY-NC-4.0,MIT", "known"),
+    (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General"
+        " Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your"
+        " option) any later version.",
+        "GPL-3.0-or-later",
+        "known",
+    ),
+    ("We like licensed things.", "", "unknown"),
+    ("The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.", "", "sentences"),
+    ("nothing at all", "", "none"),
+    (None, "", "none"),
+    ("", "", "none"),
+    ("x. " * 3000 + "All rights reserved.", "Proprietary", "known"),
+]
+
+
+def test_license_cases(spark):
+    docs = with_clashes(documents(spark, [(i, text) for i, (text, _, _) in enumerate(CASES)] + [(0, CASES[0][0])]))
+    found = {r.doc_id: (r.licenses, r.status) for r in licenses.scan(docs).collect()}
+    assert found == {i: (names, status) for i, (_, names, status) in enumerate(CASES)}
+    assert licenses.scan(docs).count() == len(CASES) + 1
+
+
+def test_license_rules_go_by_order(spark):
+    sentences = [("a", "First copyright sentence."), ("b", "Second copyright sentence.")]
+    rules = [("A-then-B", ("a", "b")), ("A", ("a",)), ("B", ("b",))]
+    texts = ["First copyright sentence. Second copyright sentence.", "Second copyright sentence. First copyright sentence."]
+    found = licenses.scan(documents(spark, list(enumerate(texts))), sentences, rules).collect()
+    assert {r.doc_id: r.licenses for r in found} == {0: "A-then-B", 1: "A,B"}
+
+
+def test_broken_bsd_notice(spark):
+    listed = NOTICE.replace("# 1. ", "#\n# - ").replace("# 2. ", "#\n# - ")
+    rows = licenses.scan(documents(spark, [(1, NOTICE), (2, listed)])).collect()
+    assert {r.sentence_ids for r in rows} == {"bsd-redistribution,bsd-source,bsd-binary"}
+    assert {r.licenses for r in rows} == {"BSD-2-Clause"}
+
+
+def test_apache_header(spark):
+    header = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *   http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ */"""
+    (row,) = licenses.scan(documents(spark, [(1, header)])).collect()
+    assert (row.licenses, row.sentence_ids) == ("Apache-2.0", "apache2-grant,apache2-copy,apache2-basis")
+
+
+def test_triggers_are_in_every_sentence():
+    words = licenses.triggers([s for _, s in licenses.SENTENCES])
+    assert all(any(w in s.lower() for w in words) for _, s in licenses.SENTENCES)
+
+
+@pytest.mark.parametrize("run", [
+    lambda d: sharding.place(d, queries.SHARDS),
+    exact_dedup.dedup,
+    exact_dedup.survivors,
+    mixing.mix,
+    mixing.sampled_rows,
+    licenses.scan,
+])
+def test_empty_table(spark, run):
+    assert run(documents(spark, [(1, "x")]).where("doc_id > 1")).collect() == []
+
+
+def test_sql_is_for_registered_queries():
+    assert set(queries.oracle_sql()) <= set(queries.QUERIES)
+    assert "0x" in sql.sharding([0], [0, 1])
