@@ -5,16 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairsift.stages import new_folder, staged
+from pairsift.stages import discarded, new_folder, staged
 
 RANKED = ("decade", "rn", "score", "w1", "w2")
 
-# Up to this k Spark cuts every task's rows to k per decade before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold, at its default).
-PRUNED_K = 1000
-
-# A table of at most this many rows of three numbers is broadcast.
-BROADCAST_ROWS = 200_000
+# Parts of a decade that are cut to k pairs each before they meet.
+BUCKETS = 64
 
 
 def best_first() -> list[Column]:
@@ -25,34 +21,43 @@ def best_first() -> list[Column]:
     return [F.desc("score"), F.asc("w1"), F.asc("w2")]
 
 
-def topk_per_decade(scored: DataFrame, k: int = 100) -> DataFrame:
-    """``decade, rn, score, w1, w2`` of the ``k`` best pairs of each decade."""
-    if k > PRUNED_K:
-        return rank_per_decade(scored).where(F.col("rn") <= k)
+def topk_per_decade(scored: DataFrame, k: int = 100, buckets: int = BUCKETS) -> DataFrame:
+    """``decade, rn, score, w1, w2`` of the ``k`` best pairs of each decade.
+
+    Lazy for every ``k``. The pairs of a decade are dealt out to ``buckets`` parts by
+    a hash and ranked there first, so one task gets a part of a decade and at most
+    ``buckets * k`` pairs after that; more buckets for larger decades. Up to a ``k`` of
+    its own Spark also cuts within each task before the first shuffle.
+    """
+    bucket = F.pmod(F.xxhash64("w1", "w2"), F.lit(buckets))
+    in_part = F.row_number().over(Window.partitionBy("decade", bucket).orderBy(*best_first()))
+    best = scored.select(*RANKED[:1], *RANKED[2:]).withColumn("rn", in_part).where(F.col("rn") <= k)
     rank = F.row_number().over(Window.partitionBy("decade").orderBy(*best_first()))
-    best = scored.withColumn("rn", rank).where(F.col("rn") <= k)
+    best = best.withColumn("rn", rank).where(F.col("rn") <= k)
     return best.withColumn("rn", F.col("rn").cast("bigint")).select(*RANKED)
 
 
 def rank_per_decade(scored: DataFrame) -> DataFrame:
     """``decade, rn, score, w1, w2`` of all pairs, however many a decade has.
 
-    A window over the decade would sort it in one task. Here all pairs are
-    sorted by ranges instead, which cuts a large decade in many parts, and stored
-    with their place in the part. A pair's rank is that place plus the size of
-    the decade's earlier parts.
+    Runs at once. A window over the decade would sort it in one task. Here all pairs
+    are stored (finding ranges reads them once more, and should not compute them once
+    more), sorted by ranges, which cuts a large decade in many parts, and stored with
+    their place in the part. A pair's rank is that place plus the size of the
+    decade's earlier parts, a small table stored beside.
     """
-    in_order = (
-        scored.select("decade", "score", "w1", "w2")
-        .repartitionByRange("decade", *best_first())
-        .sortWithinPartitions("decade", *best_first())
+    spark = scored.sparkSession
+    unordered = staged(scored.select("decade", "score", "w1", "w2"), new_folder(spark, "scored"))
+    in_order = unordered.repartitionByRange("decade", *best_first()).sortWithinPartitions(
+        "decade", *best_first()
     )
     # The id holds the part number above 33 bits of row number.
     numbered = in_order.withColumn("row", F.monotonically_increasing_id())
-    stored = staged(numbered, new_folder(scored.sparkSession, "ranked"))
-    stored = stored.withColumn("part", F.shiftright("row", 33))
+    ordered = staged(numbered, new_folder(spark, "ranked"))
+    ordered = ordered.withColumn("part", F.shiftright("row", 33))
+    discarded(unordered)
 
-    parts = stored.groupBy("decade", "part").agg(
+    parts = ordered.groupBy("decade", "part").agg(
         F.min("row").alias("first_row"), F.count("*").alias("size")
     )
     earlier = Window.partitionBy("decade").orderBy("part").rowsBetween(
@@ -60,12 +65,9 @@ def rank_per_decade(scored: DataFrame) -> DataFrame:
     )
     before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
     starts = parts.select("decade", "part", (before + 1 - F.col("first_row")).alias("shift"))
-    # One row for each part and for each decade that begins inside one.
-    if parts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        starts = F.broadcast(starts)
-
+    starts = staged(starts, new_folder(spark, "starts"))
     return (
-        stored.join(starts, ["decade", "part"])
+        ordered.join(starts, ["decade", "part"])
         .withColumn("rn", F.col("row") + F.col("shift"))
         .select(*RANKED)
     )

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,20 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as Hadoop's own."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for stage tables that all machines share.
 
-    It is the one the session names. A local session without one gets a
-    temporary folder; on a cluster that would be a different folder on every
-    machine, so there the setting is required.
+    It is the one the session names in ``spark.checkpoint.dir``. A local session
+    without one uses its warehouse folder; a cluster session must name one, and not
+    one of the machines' own file systems.
     """
     context = spark.sparkContext
-    named = spark.conf.get(SETTING, None)
-    if named is None and context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="pairsift-"))
-    return named or context.getCheckpointDir()
+    local = context.master.startswith("local")
+    folder = spark.conf.get(SETTING, None) or context.getCheckpointDir()
+    if folder is None and local:
+        return f"{spark.conf.get('spark.sql.warehouse.dir')}/_stages"
+    if folder is None:
+        raise ValueError(f"set {SETTING} to a folder that all executors share")
+    if not local and file_system(spark, folder)[0].getUri().getScheme() == "file":
+        raise ValueError(f"{SETTING} names a folder of a single machine: {folder}")
+    return folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -38,4 +46,27 @@ def staged(df: DataFrame, folder: str) -> DataFrame:
     lost executor costs a re-read, not a re-run.
     """
     df.write.mode("overwrite").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return stored(df.sparkSession, folder, df)
+
+
+def stored(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """The stage table in ``folder``, which has the columns of ``like``."""
+    return spark.read.schema(like.schema).parquet(folder)
+
+
+def complete(spark: SparkSession, folder: str) -> bool:
+    """Whether a stage table was written to its end."""
+    files, path = file_system(spark, f"{folder}/_SUCCESS")
+    return files.exists(path)
+
+
+def removed(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder of stage tables."""
+    files, path = file_system(spark, folder)
+    files.delete(path, True)
+
+
+def discarded(df: DataFrame) -> None:
+    """Deletes the folder of a stage table that nobody needs any more."""
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        removed(df.sparkSession, folder)

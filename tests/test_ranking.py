@@ -2,7 +2,6 @@ import math
 
 import pytest
 
-from pairsift.operators import ranking
 from pairsift.operators.ranking import rank_per_decade, topk_per_decade
 from pairsift.operators.stats import pair_decades
 
@@ -35,7 +34,7 @@ def test_top_k(spark, plan_of):
     assert sorted(map(tuple, top.collect())) == by_hand(df.collect(), 100)
     assert top.columns == ["decade", "rn", "score", "w1", "w2"]
     # Tasks drop what cannot be among the best before they shuffle.
-    assert plan_of(top).count("WindowGroupLimit") == 2
+    assert plan_of(top).count("WindowGroupLimit") == 4
 
 
 @pytest.mark.parametrize("partitions", ["1", "2", "7", "40"])
@@ -51,19 +50,59 @@ def test_full_ranking_cuts_a_decade(spark, conf, plan_of):
     conf("spark.sql.shuffle.partitions", "10")
     conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     ranked = rank_per_decade(many(spark))
-    assert "Window" in plan_of(ranked)  # over the parts, not over the pairs
-    assert "w1" not in next(line for line in plan_of(ranked).splitlines() if "Window" in line)
+    # The window is over the parts, which are stored, and not over the pairs.
+    assert "Window" not in plan_of(ranked)
+    (folder,) = {name.rsplit("/", 1)[0] for name in ranked.inputFiles() if "ranked-" in name}
+    parts = spark.read.parquet(folder).selectExpr("decade", "row >> 33 AS part").distinct()
+    assert parts.where("decade = 1990").count() > 3
 
 
-def test_full_ranking_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "BROADCAST_ROWS", 1)
+def test_full_ranking_without_broadcast(spark, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     df = many(spark, 500)
     assert sorted(map(tuple, rank_per_decade(df).collect())) == by_hand(df.collect())
 
 
-def test_large_k(spark):
+def test_full_ranking_computes_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = many(spark)
+    ranked = rank_per_decade(df.mapInPandas(counted, df.schema))
+    assert ranked.count() == df.count() == seen.value
+
+
+@pytest.mark.parametrize("k", [1, 100, 1000, 1001, 1500, 100_000])
+def test_any_k(spark, k):
     df = many(spark)
-    assert sorted(map(tuple, topk_per_decade(df, 1500).collect())) == by_hand(df.collect(), 1500)
+    assert sorted(map(tuple, topk_per_decade(df, k, buckets=5).collect())) == by_hand(df.collect(), k)
+
+
+def test_top_k_does_not_lean_on_a_threshold(spark, conf, plan_of):
+    conf("spark.sql.optimizer.windowGroupLimitThreshold", "1")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = many(spark)
+    top = topk_per_decade(df, 100, buckets=8)
+    assert sorted(map(tuple, top.collect())) == by_hand(df.collect(), 100)
+    plan = plan_of(top)
+    assert "WindowGroupLimit" not in plan
+    # The parts of a decade are ranked apart before the decade is.
+    assert plan.count("Window ") == 2 and plan.count("Exchange") == 2
+
+
+@pytest.mark.parametrize("k", [100, 5000])
+def test_building_the_plan_starts_no_job(spark, k):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        topk_per_decade(many(spark), k)
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_fewer_pairs_than_k_and_none_at_all(spark):
