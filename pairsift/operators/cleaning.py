@@ -48,13 +48,13 @@ def one_of(column: str, words: Iterable[str]) -> Column:
 
 
 def without_stopwords(pairs: DataFrame, words: Iterable[str]) -> DataFrame:
-    """Pairs neither of whose words is in ``words``.
+    """Pairs neither of whose words is in ``words``, upper or lower case.
 
     One test on the number of stop words in a pair, not one on each word: that
     Catalyst would also apply to the word counts a pair is joined with, and as
     the decade totals need the counts of all words, count the words twice.
     """
-    words = list(words)
+    words = [word.lower() for word in words]
     found = [one_of(word, words).cast("int") for word in ("w1", "w2")]
     return pairs.where(found[0] + found[1] == 0)
 
@@ -63,8 +63,10 @@ def without_stopword_rows(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """The same against a table with a column ``w``, for lists of any length.
 
     There is no broadcast hint: Spark broadcasts the table if it is small by its
-    own measure and shuffles otherwise, where it can split a frequent word.
+    own measure and shuffles otherwise, where it can split a frequent word. Only the
+    two words decide, so sum pairs first and test the sums.
     """
+    columns = pairs.columns
     for word in ("w1", "w2"):
-        pairs = pairs.join(words.select(F.col("w").alias(word)), word, "left_anti")
-    return pairs.select("decade", "w1", "w2", "cnt")
+        pairs = pairs.join(words.select(F.lower("w").alias(word)), word, "left_anti")
+    return pairs.select(*columns)

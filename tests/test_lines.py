@@ -1,3 +1,5 @@
+import hashlib
+
 from pairsift.operators.cleaning import (
     clean_bigrams,
     clean_unigrams,
@@ -76,6 +78,8 @@ def test_unigrams_keep_stop_words_and_drop_phrases(lines):
 def test_stop_word_lists(spark):
     assert (len(english()), len(hebrew()), len(stop_words())) == (319, 149, 468)
     assert len(set(hebrew())) == 149
+    digest = hashlib.sha256(" ".join(stop_words()).encode()).hexdigest()
+    assert digest == "3c7e64c7fcdb88b332f44b0f23e40eaa2da7d8a018886893db74db5357147453"
     assert stopword_table(spark).distinct().count() == 468
 
 
@@ -93,11 +97,24 @@ def test_own_stop_words(spark, lines):
     # Listed twice, dropped once; and nothing else is lost.
     table = spark.createDataFrame([("big",), ("big",)], "w string")
     assert rows(counted_pairs(bigrams, table)) == [(1990, "the", "dog", 2)]
+    # In upper case they match as well.
+    assert rows(counted_pairs(bigrams, ["Big"])) == [(1990, "the", "dog", 2)]
+    table = spark.createDataFrame([("BIG",)], "w string")
+    assert rows(counted_pairs(bigrams, table)) == [(1990, "the", "dog", 2)]
     assert len(rows(counted_pairs(bigrams, []))) == 2
     assert rows(counted_pairs(bigrams, ["it's", "a\\", "the", "'"])) == [(1990, "big", "dog", 1)]
     assert len(rows(counted_pairs(bigrams, ["it's"]))) == 2
 
 
+def test_a_table_of_stop_words_meets_sums(spark, lines, conf, plan_of):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    table = spark.createDataFrame([("big",)], "w string")
+    plan = plan_of(counted_pairs(lines("big dog|1995|1", "red cat|1995|2"), table))
+    # Read from above: both tests, then the sums that they get.
+    assert plan.count("LeftAnti") == 2
+    assert plan.rindex("LeftAnti") < plan.index("functions=[partial_sum")
+
+
 def test_text_files(spark, tmp_path):
     path = tmp_path / "lines.txt"
     path.write_bytes("a b\t1995\t7\r\nשלום\t2001\t3\n".encode())
