@@ -31,6 +31,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DECIMALS = 4
 TOP_FEW = 10
+MANY = 5000
+OWN_STOP_WORDS = 50
 
 
 class Tables:
@@ -118,17 +120,83 @@ def other_corpus(t: Tables) -> DataFrame:
 def products_top(t: Tables) -> DataFrame:
     """Top pairs of the two-word product names, weighted by the quantity sold."""
     words, names = corpus.product_lines(t.table("lineitem"), t.table("part"))
-    scored = plan.scored_pairs(plan.counted_words(words), plan.counted_pairs(names))
-    return ranking.topk_per_decade(rounded(scored, "score"))
+    return plan.collocations(words, names, decimals=DECIMALS)
 
 
 def pages_top(t: Tables) -> DataFrame:
     """Top pairs of raw web pages, whose tokens are full of markup."""
     pages = t.table("pages").select("page_id", F.col("html").alias("text"))
     texts = corpus.texts(pages, "page_id")
-    unigrams = plan.counted_words(corpus.unigram_lines(texts))
-    scored = plan.scored_pairs(unigrams, plan.counted_pairs(corpus.bigram_lines(texts)))
-    return ranking.topk_per_decade(rounded(scored, "score"))
+    return plan.collocations(corpus.unigram_lines(texts), corpus.bigram_lines(texts), decimals=DECIMALS)
+
+
+def documents_top(t: Tables) -> DataFrame:
+    return plan.collocations(t.unigram_lines(), t.bigram_lines(), decimals=DECIMALS)
+
+
+def from_text_files(t: Tables) -> DataFrame:
+    """Line files in, ranked pairs out, with all stages stored."""
+    folder = new_folder(t.spark, "text")
+    t.unigram_lines().write.text(f"{folder}/unigrams")
+    t.bigram_lines().write.text(f"{folder}/bigrams")
+    return plan.collocations(
+        ngrams.read_lines(t.spark, f"{folder}/unigrams"),
+        ngrams.read_lines(t.spark, f"{folder}/bigrams"),
+        stage_dir=f"{folder}/stages",
+        decimals=DECIMALS,
+    )
+
+
+def from_sequence_files(t: Tables) -> DataFrame:
+    """The same from SequenceFiles."""
+    folder = new_folder(t.spark, "sequence")
+    corpus.write_sequence(t.unigram_lines(), f"{folder}/unigrams")
+    corpus.write_sequence(t.bigram_lines(), f"{folder}/bigrams")
+    return plan.collocations(
+        ngrams.read_sequence(t.spark, f"{folder}/unigrams"),
+        ngrams.read_sequence(t.spark, f"{folder}/bigrams"),
+        decimals=DECIMALS,
+    )
+
+
+def result_files(t: Tables) -> DataFrame:
+    """The ranked pairs as they come back from result files written twice."""
+    folder = new_folder(t.spark, "results")
+    top = plan.collocations(t.unigram_lines(), t.bigram_lines(), TOP_FEW, decimals=DECIMALS)
+    results.write_results(top, folder, 3)
+    results.write_results(documents_top(t), folder, 2)
+    return rounded(results.read_results(t.spark, folder), "score")
+
+
+def hebrew_lines(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Lines of the documents in Hebrew letters, and some lines of real Hebrew."""
+    text = F.translate(F.lower("text"), corpus.LATIN, corpus.HEBREW)
+    texts = corpus.texts(t.table("documents").select("doc_id", text.alias("text")), "doc_id")
+
+    def and_lines(lines: DataFrame, more: list[tuple]) -> DataFrame:
+        rows = [("\t".join(map(str, row)),) for row in more]
+        return lines.unionByName(t.spark.createDataFrame(rows, "value string"))
+
+    return (
+        and_lines(corpus.unigram_lines(texts), corpus.HEBREW_UNIGRAMS),
+        and_lines(corpus.bigram_lines(texts), corpus.HEBREW_BIGRAMS),
+    )
+
+
+def token_edges(t: Tables) -> DataFrame:
+    """Tokens of the documents with signs around them, and some odd tokens."""
+    raw = t.documents.select(F.explode_outer("tokens").alias("raw")).where("raw != ''").distinct()
+    dressed = raw.select(F.explode(F.array(*map(F.expr, corpus.DRESSED))).alias("raw"))
+    odd = t.spark.createDataFrame([(token,) for token in corpus.ODD_TOKENS], "raw string")
+    every = dressed.unionByName(odd).distinct()
+    return every.select("raw", clean_token(F.col("raw")).alias("token"))
+
+
+def own_stopwords(t: Tables) -> DataFrame:
+    """Pair counts without the most frequent words, which come as a table in upper case."""
+    frequent = t.unigrams().groupBy("w").agg(F.sum("c").alias("c"))
+    frequent = frequent.orderBy(F.desc("c"), "w").limit(OWN_STOP_WORDS)
+    return plan.counted_pairs(t.bigram_lines(), frequent.select(F.upper("w").alias("w")))
 
 
 def mixed_lines(t: Tables) -> DataFrame:
@@ -156,22 +224,26 @@ def rejects(t: Tables) -> DataFrame:
 
 
 def stage_funnel(t: Tables) -> DataFrame:
-    """Rows of every stage, all stages stored like in a run with a stage folder."""
+    """Rows of every stage, all stages stored like in a run with a stage folder.
+
+    Lines are read once, for the sums and for what became of them.
+    """
     keep = plan.keep_in(new_folder(t.spark, "funnel"))
-    unigram_lines = keep("unigram_lines", t.unigram_lines())
-    bigram_lines = keep("bigram_lines", t.bigram_lines())
-    unigrams = plan.counted_words(unigram_lines, keep)
-    pairs = plan.counted_pairs(bigram_lines, keep=keep)
+    read = stats.read_unigrams(t.unigram_lines())
+    summed_words = keep("unigram_sums", stats.summed_lines(read, ["decade", "w"]))
+    unigrams = stats.accepted_sums(summed_words, "c")
+    read = stats.read_bigrams(t.bigram_lines(), stopwords.stop_words())
+    summed_pairs = keep("bigram_sums", stats.summed_lines(read, ["decade", "w1", "w2"]))
+    pairs = stats.accepted_sums(summed_pairs, "c12")
     with_c1 = keep("with_c1", joins.with_word_count(pairs, unigrams, "w1", "c1"))
     with_c2 = keep("with_c2", joins.with_word_count(with_c1, unigrams, "w2", "c2"))
     totals = keep("totals", counts.decade_totals(unigrams))
     scored = keep("scored", scoring.with_score(joins.with_totals(with_c2, totals)))
     top = keep("top", ranking.topk_per_decade(scored))
-    words = stopwords.stop_words()
     return stats.stage_funnel(
         {
-            "bigram": (stats.bigram_outcomes(bigram_lines, words), pairs),
-            "unigram": (stats.unigram_outcomes(unigram_lines), unigrams),
+            "bigram": (stats.outcomes(summed_pairs), pairs),
+            "unigram": (stats.outcomes(summed_words), unigrams),
         },
         {
             "join_c1": (pairs, with_c1),
@@ -184,7 +256,7 @@ def stage_funnel(t: Tables) -> DataFrame:
 
 
 def output_lines(t: Tables) -> DataFrame:
-    top = ranking.topk_per_decade(t.scored())
+    top = documents_top(t)
     # The sink prints doubles; engines print them differently, decimals alike.
     fixed = top.withColumn("score", F.col("score").cast(f"decimal(24,{DECIMALS})"))
     return results.result_lines(fixed).withColumnRenamed("value", "line")
@@ -217,13 +289,21 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "llr_score_other_corpus": other_corpus,
     "rank_per_decade": lambda t: ranking.rank_per_decade(t.scored()),
     "topk_per_decade": lambda t: ranking.topk_per_decade(t.scored(), TOP_FEW),
-    "collocations_top100": lambda t: ranking.topk_per_decade(t.scored()),
+    "topk_per_decade_5000": lambda t: ranking.topk_per_decade(t.scored(), MANY),
+    "collocations_top100": documents_top,
     "collocations_products": products_top,
     "collocations_pages": pages_top,
+    "collocations_from_text": from_text_files,
+    "collocations_from_sequence": from_sequence_files,
+    "result_files": result_files,
+    "bigram_counts_hebrew": lambda t: plan.counted_pairs(hebrew_lines(t)[1]),
+    "collocations_hebrew": lambda t: plan.collocations(*hebrew_lines(t), decimals=DECIMALS),
+    "clean_token_edges": token_edges,
+    "bigram_counts_own_stopwords": own_stopwords,
     "format_output_lines": output_lines,
     "stage_funnel": stage_funnel,
     "rejects_by_reason": rejects,
-    "pair_decades": lambda t: stats.pair_decades(ranking.topk_per_decade(t.scored())),
+    "pair_decades": lambda t: stats.pair_decades(documents_top(t)),
 }
 
 

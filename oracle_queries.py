@@ -6,13 +6,7 @@ letters in a list of runs, a rank is a window over the decade, and so on.
 
 from __future__ import annotations
 
-import zipfile
-from functools import cache
-from pathlib import Path
-
-import pyspark
-
-from pairsift.sources import stopwords
+from pairsift.sources import corpus, stopwords
 
 LETTERS = r"a-z\x{0590}-\x{05FF}"
 DECIMALS = 4
@@ -40,19 +34,8 @@ def _whole(text: str, type_name: str) -> str:
     return f"CASE WHEN regexp_full_match({digits}, '[+-]?[0-9]+') THEN TRY_CAST({digits} AS {type_name}) END"
 
 
-@cache
-def _english() -> list[str]:
-    """The English stop words, also where no Spark session is running."""
-    jars = Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar")
-    for jar in jars:
-        with zipfile.ZipFile(jar) as files:
-            words = files.read("org/apache/spark/ml/feature/stopwords/english.txt")
-        return stopwords.english(words.decode().split())
-    return stopwords.english()
-
-
 def _stop_list() -> str:
-    return ", ".join(map(_quoted, sorted({*_english(), *stopwords.hebrew()})))
+    return ", ".join(map(_quoted, stopwords.stop_words()))
 
 
 def _lines(table: str, id_column: str, text: str, prefix: str = "") -> list[str]:
@@ -136,9 +119,9 @@ def _with(*parts: str | list[str], select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
 
-def _documents(select: str) -> str:
+def _documents(select: str, *more: str) -> str:
     return _with(
-        _lines("documents", "doc_id", "text"), _counts(), _joined(), _terms(), select=select
+        _lines("documents", "doc_id", "text"), _counts(), _joined(), _terms(), *more, select=select
     )
 
 
@@ -159,6 +142,38 @@ def _pages() -> str:
     )
 
 
+def _hebrew(select: str) -> str:
+    def values(rows: list[tuple]) -> str:
+        return ", ".join(f"({_quoted(ngram)}, {year}, {count})" for ngram, year, count in rows)
+
+    text = f"translate(lower(text), '{corpus.LATIN}', '{corpus.HEBREW}')"
+    return _with(
+        _lines("documents", "doc_id", text, "d_"),
+        f"uni AS (FROM d_uni UNION ALL VALUES {values(corpus.HEBREW_UNIGRAMS)})",
+        f"bi AS (FROM d_bi UNION ALL VALUES {values(corpus.HEBREW_BIGRAMS)})",
+        _counts(), _joined(), _terms(),
+        select=select,
+    )
+
+
+def _token_edges() -> str:
+    odd = ", ".join(map(_quoted, corpus.ODD_TOKENS))
+    dressed = ", ".join(corpus.DRESSED)
+    return _documents(
+        f"SELECT raw, {_word('raw')} AS token FROM (SELECT DISTINCT raw FROM"
+        f" (SELECT unnest([{dressed}]) AS raw FROM (SELECT DISTINCT ngram AS raw FROM uni)"
+        f" UNION ALL SELECT unnest([{odd}])))"
+    )
+
+
+def _own_stopwords() -> str:
+    return _documents(
+        "SELECT decade, w1, w2, sum(cnt)::BIGINT AS c12 FROM clean"
+        " WHERE w1 NOT IN (FROM own) AND w2 NOT IN (FROM own) GROUP BY ALL",
+        "own AS (SELECT w FROM unigrams GROUP BY w ORDER BY sum(c) DESC, w LIMIT 50)",
+    )
+
+
 def _other_corpus() -> str:
     return _with(
         _lines("documents", "doc_id", "text"),
@@ -224,7 +239,7 @@ def _funnel() -> str:
 def _stopword_counts() -> str:
     listed = " UNION ALL ".join(
         f"SELECT unnest([{', '.join(map(_quoted, words))}]) AS w, '{lang}' AS lang"
-        for lang, words in (("en", _english()), ("he", stopwords.hebrew()))
+        for lang, words in (("en", stopwords.english()), ("he", stopwords.hebrew()))
     )
     return _documents(
         "SELECT l.w, l.lang, coalesce(sum(u.c), 0)::BIGINT AS c"
@@ -277,7 +292,15 @@ def all_sql() -> dict[str, str]:
         "llr_score_other_corpus": _other_corpus(),
         "rank_per_decade": _documents("SELECT * FROM ranked"),
         "topk_per_decade": _documents("SELECT * FROM ranked WHERE rn <= 10"),
+        "topk_per_decade_5000": _documents("SELECT * FROM ranked WHERE rn <= 5000"),
         "collocations_top100": _documents(f"SELECT * {top}"),
+        "collocations_from_text": _documents(f"SELECT * {top}"),
+        "collocations_from_sequence": _documents(f"SELECT * {top}"),
+        "result_files": _documents(f"SELECT decade, score, w1, w2 {top}"),
+        "bigram_counts_hebrew": _hebrew("SELECT decade, w1, w2, c12 FROM pairs"),
+        "collocations_hebrew": _hebrew(f"SELECT * {top}"),
+        "clean_token_edges": _token_edges(),
+        "bigram_counts_own_stopwords": _own_stopwords(),
         "collocations_products": _products(),
         "collocations_pages": _pages(),
         "format_output_lines": _documents(

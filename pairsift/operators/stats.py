@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairsift.functions.text import clean_token, computed, token_list, whole_number
+from pairsift.functions.text import clean_token, computed, decade_of, token_list, whole_number
 from pairsift.operators.cleaning import one_of
 from pairsift.sources.ngrams import field, line_fields
 
@@ -20,14 +20,14 @@ def full_fields(lines: DataFrame) -> DataFrame:
     return lines.select(line_fields(F.rtrim("value", F.lit("\t"))).alias("fields"))
 
 
-def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
-    """``reason, cnt``: what became of bigram lines, in one pass over them.
+def read_bigrams(lines: DataFrame, words: Iterable[str]) -> DataFrame:
+    """``reason, decade, w1, w2, cnt`` of bigram lines.
 
-    A line counts under the first rule it breaks: ``fields``, ``year``,
-    ``tokens`` (not two), ``word`` (a token without a clean word), ``stopword``,
-    ``count``; or as ``accepted``.
+    A line's reason is the first rule it breaks: ``fields``, ``year``, ``tokens``
+    (not two), ``word`` (a token without a clean word), ``stopword``, ``count``; or
+    ``accepted``.
     """
-    words = list(words)
+    words = [word.lower() for word in words]
     fields, tokens = F.col("fields"), F.col("tokens")
     read = full_fields(lines)
     read = computed(read, token_list(field(fields, 0)).alias("tokens"), kept=("fields",))
@@ -49,25 +49,65 @@ def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
         .when(F.col("cnt").isNull(), "count")
         .otherwise(ACCEPTED)
     )
-    return read.groupBy(reason.alias("reason")).agg(F.count("*").alias("cnt"))
+    return read.select(reason.alias("reason"), decade_of(F.col("year")).alias("decade"), "w1", "w2", "cnt")
 
 
-def unigram_outcomes(lines: DataFrame) -> DataFrame:
-    """The same for unigram lines: ``fields``, ``word``, ``year``, ``count``."""
+def read_unigrams(lines: DataFrame) -> DataFrame:
+    """``reason, decade, w, cnt`` of unigram lines: ``fields``, ``word``, ``year``, ``count``."""
     fields = F.col("fields")
+    read = computed(
+        full_fields(lines),
+        field(fields, 2).isNull().alias("short"),
+        whole_number(field(fields, 1), "int").alias("year"),
+        whole_number(field(fields, 2), "bigint").alias("cnt"),
+        clean_token(field(fields, 0)).alias("w"),
+    )
     reason = (
-        F.when(field(fields, 2).isNull(), "fields")
-        .when(clean_token(field(fields, 0)).isNull(), "word")
-        .when(whole_number(field(fields, 1), "int").isNull(), "year")
-        .when(whole_number(field(fields, 2), "bigint").isNull(), "count")
+        F.when(F.col("short"), "fields")
+        .when(F.col("w").isNull(), "word")
+        .when(F.col("year").isNull(), "year")
+        .when(F.col("cnt").isNull(), "count")
         .otherwise(ACCEPTED)
     )
-    return full_fields(lines).groupBy(reason.alias("reason")).agg(F.count("*").alias("cnt"))
+    return read.select(reason.alias("reason"), decade_of(F.col("year")).alias("decade"), "w", "cnt")
+
+
+def summed_lines(read: DataFrame, key: list[str]) -> DataFrame:
+    """Lines and counts of lines read, by reason and, if accepted, by ``key``.
+
+    One pass gives both what was counted (:func:`accepted_sums`) and what became of
+    the lines (:func:`outcomes`).
+    """
+    accepted = F.col("reason") == ACCEPTED
+    return read.groupBy("reason", *(F.when(accepted, F.col(k)).alias(k) for k in key)).agg(
+        F.sum(F.when(accepted, F.col("cnt"))).alias("cnt"), F.count("*").alias("lines")
+    )
+
+
+def accepted_sums(summed: DataFrame, count: str) -> DataFrame:
+    """The key columns and the sum, named ``count``, of the lines accepted."""
+    kept = summed.where(F.col("reason") == ACCEPTED).withColumnRenamed("cnt", count)
+    return kept.drop("reason", "lines")
+
+
+def outcomes(summed: DataFrame) -> DataFrame:
+    """``reason, cnt``: lines by what became of them."""
+    return summed.groupBy("reason").agg(F.sum("lines").alias("cnt"))
+
+
+def bigram_outcomes(lines: DataFrame, words: Iterable[str]) -> DataFrame:
+    """``reason, cnt``: what became of bigram lines, see :func:`read_bigrams`."""
+    return read_bigrams(lines, words).groupBy("reason").agg(F.count("*").alias("cnt"))
+
+
+def unigram_outcomes(lines: DataFrame) -> DataFrame:
+    """The same for unigram lines."""
+    return read_unigrams(lines).groupBy("reason").agg(F.count("*").alias("cnt"))
 
 
-def rejects_by_reason(outcomes: DataFrame) -> DataFrame:
+def rejects_by_reason(counted: DataFrame) -> DataFrame:
     """``reason, cnt`` of the lines that were left out."""
-    return outcomes.where(F.col("reason") != ACCEPTED)
+    return counted.where(F.col("reason") != ACCEPTED)
 
 
 def stage_funnel(
@@ -90,9 +130,9 @@ def stage_funnel(
     read = F.sum("cnt")
     accepted = F.sum(F.when(F.col("reason") == ACCEPTED, F.col("cnt")))
     sides = []
-    for name, (outcomes, counted) in sums.items():
-        sides.append(side(f"{name}_lines", outcomes, read, accepted))
-        sides.append(side(f"{name}_counts", outcomes, accepted, F.max(none)))
+    for name, (became, counted) in sums.items():
+        sides.append(side(f"{name}_lines", became, read, accepted))
+        sides.append(side(f"{name}_counts", became, accepted, F.max(none)))
         sides.append(side(f"{name}_counts", counted, F.max(none), F.count("*")))
     for name, (before, after) in steps.items():
         sides.append(side(name, before, F.count("*"), F.max(none)))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from pairsift.operators.cleaning import (
     clean_bigrams,
@@ -18,16 +19,24 @@ from pairsift.operators.ranking import topk_per_decade
 from pairsift.operators.scoring import with_score
 from pairsift.sources.ngrams import parse_ngrams, split_bigrams
 from pairsift.sources.stopwords import stop_words
-from pairsift.stages import staged
+from pairsift.stages import complete, staged, stored
 
 Keep = Callable[[str, DataFrame], DataFrame]
 
 
-def keep_in(folder: str | None) -> Keep:
-    """Stores a stage in ``folder``; without a folder, leaves it lazy."""
-    if folder is None:
-        return lambda name, df: df
-    return lambda name, df: staged(df, f"{folder}/{name}")
+def keep_in(folder: str | None, resume: bool = False) -> Keep:
+    """Stores a stage in ``folder``; without a folder, leaves it lazy.
+
+    With ``resume`` a stage that is complete there is read and not computed again.
+    """
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        path = f"{folder}/{name}"
+        if resume and complete(df.sparkSession, path):
+            return stored(df.sparkSession, path, df)
+        return staged(df, path)
+
+    return keep if folder is not None else lambda name, df: df
 
 
 def counted_words(unigram_lines: DataFrame, keep: Keep = keep_in(None)) -> DataFrame:
@@ -41,13 +50,18 @@ def counted_pairs(
     stopwords: Iterable[str] | DataFrame | None = None,
     keep: Keep = keep_in(None),
 ) -> DataFrame:
-    """``decade, w1, w2, c12`` from bigram lines."""
+    """``decade, w1, w2, c12`` from bigram lines.
+
+    A list of stop words is a test on each line; a table of them is held against the
+    sums, which are fewer.
+    """
     pairs = clean_bigrams(split_bigrams(parse_ngrams(bigram_lines)))
     if isinstance(stopwords, DataFrame):
-        pairs = without_stopword_rows(pairs, stopwords)
+        counted = without_stopword_rows(bigram_counts(pairs), stopwords)
     else:
-        pairs = without_stopwords(pairs, stop_words() if stopwords is None else stopwords)
-    return keep("bigram_counts", bigram_counts(pairs))
+        words = stop_words() if stopwords is None else stopwords
+        counted = bigram_counts(without_stopwords(pairs, words))
+    return keep("bigram_counts", counted)
 
 
 def joined_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
@@ -69,15 +83,25 @@ def collocations(
     stopwords: Iterable[str] | DataFrame | None = None,
     strict: bool = True,
     stage_dir: str | None = None,
+    resume: bool = False,
+    decimals: int | None = None,
 ) -> DataFrame:
     """``decade, rn, score, w1, w2``: the ``k`` strongest pairs of each decade.
 
     ``stopwords`` replaces the built-in lists by words or by a table ``w``.
-    With ``stage_dir`` the two count tables are stored there as Parquet, so that
-    later steps and retries start from them and not from the lines; without it
-    the result is lazy.
+    With ``stage_dir`` the counted words and pairs, the pairs with the first word's
+    count and the scored pairs are stored there as Parquet, so that later steps and
+    retries start from them and not from the lines; without it the result is lazy.
+    ``resume`` takes over the stages that an earlier run over the same lines has
+    completed there. ``decimals`` rounds scores before they are ranked, so that two
+    engines that differ in the last digits agree on the ranks.
     """
-    keep = keep_in(stage_dir)
+    keep = keep_in(stage_dir, resume)
     unigrams = counted_words(unigram_lines, keep)
     pairs = counted_pairs(bigram_lines, stopwords, keep)
-    return topk_per_decade(scored_pairs(unigrams, pairs, strict), k)
+    with_c1 = keep("with_c1", with_word_count(pairs, unigrams, "w1", "c1"))
+    with_c2 = with_word_count(with_c1, unigrams, "w2", "c2")
+    scored = keep("scored", with_score(with_totals(with_c2, decade_totals(unigrams), strict)))
+    if decimals is not None:
+        scored = scored.withColumn("score", F.round("score", decimals))
+    return topk_per_decade(scored, k)

@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pairsift.plans.collocations import collocations
 from pairsift.sources.ngrams import read_lines, read_sequence
 from pairsift.sources.results import write_results
-from pairsift.stages import new_folder
+from pairsift.stages import complete, removed
 
 # Lets adaptive execution join by hashing where every partition of a looked-up
 # table is this small, which saves sorting the pairs. Other partitions are sorted.
@@ -25,25 +25,49 @@ def session() -> SparkSession:
     return spark
 
 
+def same_inputs(spark: SparkSession, folder: str, inputs: list[str]) -> None:
+    """Notes in a stage folder what it is made of; an error if it was something else."""
+    note = f"{folder}/inputs"
+    if complete(spark, note):
+        before = [row.value for row in spark.read.text(note).orderBy("value").collect()]
+        if before != sorted(inputs):
+            raise ValueError(f"{folder} holds stages of other inputs: {before}")
+    else:
+        spark.createDataFrame([(x,) for x in inputs], "value string").coalesce(1).write.mode("overwrite").text(note)
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("unigrams", help="folder or files of unigram lines")
     parser.add_argument("bigrams", help="folder or files of bigram lines")
     parser.add_argument("output", help="folder for the result lines; replaced")
     parser.add_argument("files", type=int, help="number of result files")
+    # Scripts that pass a fifth argument go on working.
     parser.add_argument("combiner", nargs="?", help="ignored: Spark always sums before it shuffles")
     parser.add_argument("-k", type=int, default=100, help="pairs per decade")
     parser.add_argument("--format", choices=["sequence", "text"], default="sequence")
-    parser.add_argument("--stage-dir", help="folder for the count tables")
+    parser.add_argument(
+        "--stage-dir", help="folder for the stage tables, which stay; default: beside the output, until it is written"
+    )
+    parser.add_argument("--resume", action="store_true", help="start from the complete stages of the same inputs")
     options = parser.parse_args(args)
 
     spark = session()
     read = read_sequence if options.format == "sequence" else read_lines
-    stage_dir = options.stage_dir or new_folder(spark, "collocations")
+    stage_dir = options.stage_dir or f"{options.output.rstrip('/')}_stages"
+    if not options.resume:
+        removed(spark, f"{stage_dir}/inputs")
+    same_inputs(spark, stage_dir, [f"unigrams {options.unigrams}", f"bigrams {options.bigrams}", options.format])
     ranked = collocations(
-        read(spark, options.unigrams), read(spark, options.bigrams), options.k, stage_dir=stage_dir
+        read(spark, options.unigrams),
+        read(spark, options.bigrams),
+        options.k,
+        stage_dir=stage_dir,
+        resume=options.resume,
     )
     write_results(ranked, options.output, options.files)
+    if not options.stage_dir:
+        removed(spark, stage_dir)
 
 
 if __name__ == "__main__":

@@ -10,16 +10,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import token_list
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deals a small input out to all cores.
-
-    A large input has more splits than there are cores and is left as it is;
-    only a file of few row groups, read by a few tasks, is worth a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+from pairsift.sources.ngrams import LONG_WRITABLE, TEXT_WRITABLE
+
+# The documents hold no Hebrew; their letters are put into Hebrew ones.
+LATIN = "abcdefghijklmnopqrstuv"
+HEBREW = "אבגדהוזחטיכלמנסעפצקרשת"
+
+# Lines of Hebrew words and of stop words among them: n-gram, year, count.
+HEBREW_UNIGRAMS = [
+    ("תל", 2003, 50), ("אביב", 2003, 60), ("של", 2003, 500), ("דבר", 2001, 90),
+    ("ארה״ב", 2005, 70), ("(ירושלים)", 2004, 80), ("העיר", 2004, 40), ("ארה\"ב", 2005, 9),
+]
+HEBREW_BIGRAMS = [
+    ("תל אביב", 2003, 40), ("תל אביב,", 2009, 2), ("של אביב", 2003, 30), ("העיר ירושלים", 2004, 20),
+    ("אביב דבר", 2001, 8), ("ארה״ב העיר", 2005, 7), ("ארה\"ב העיר", 2005, 5), ("תל אביב יפו", 2003, 3),
+    ("תל אביב", 1995, 6), ("big תל", 2003, 4),
+]
+
+# Signs around a token, in the SQL of both engines, and tokens with known results.
+DRESSED = (
+    "raw", "concat('\"', raw, ',')", "concat(raw, '_NOUN')", "concat('19', raw)",
+    f"translate(lower(raw), '{LATIN}', '{HEBREW}')",
+    f"concat(translate(lower(raw), '{LATIN}', '{HEBREW}'), '״')",
+    f"concat('(', translate(lower(raw), '{LATIN}', '{HEBREW}'), raw)",
+)
+ODD_TOKENS = [
+    "'ve", "I", "19th", "\"Hello,", "_NOUN_", "café", "dog_NOUN", "état", "don't", "x1y",
+    "תל", "ארה\"ב", "של", "ארה״ב", "״תל״", "תל-אביב", "שָׁלוֹם", "19", "--",
+]
 
 
 def texts(table: DataFrame, id_column: str) -> DataFrame:
@@ -29,7 +47,7 @@ def texts(table: DataFrame, id_column: str) -> DataFrame:
     """
     number = F.col(id_column)
     year = F.lit(1900) + number % 12 * 10 + number % 7
-    return spread(table.select(id_column, "text")).select(
+    return table.select(
         year.cast("int").alias("year"), token_list(F.col("text")).alias("tokens")
     )
 
@@ -77,3 +95,17 @@ def product_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, Data
     )
     line = F.concat_ws("\t", "ngram", "year", "cnt").alias("value")
     return words.select(line), named.withColumnRenamed("p_name", "ngram").select(line)
+
+
+def write_sequence(lines: DataFrame, path: str) -> None:
+    """Lines as Hadoop SequenceFiles, the input format of :func:`ngrams.read_sequence`.
+
+    Spark has no DataFrame writer for it. The ids, which nobody reads, have more than
+    31 bits, as smaller numbers of Python's would become ``IntWritable``.
+    """
+    lines.rdd.map(lambda row: (1 << 40, row.value)).saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        LONG_WRITABLE,
+        TEXT_WRITABLE,
+    )

@@ -4,14 +4,16 @@ from types import SimpleNamespace
 
 import pytest
 
+from pairsift import stages
+from pairsift.operators import stats
 from pairsift.plans import job
 from pairsift.plans.collocations import collocations, counted_pairs, counted_words, keep_in
 from pairsift.operators.stats import bigram_outcomes, stage_funnel, unigram_outcomes
 from pairsift.sources import corpus
-from pairsift.sources.ngrams import LONG_WRITABLE, TEXT_WRITABLE, parse_ngrams, read_sequence
-from pairsift.sources.results import result_lines, write_results
+from pairsift.sources.ngrams import parse_ngrams, read_sequence
+from pairsift.sources.results import read_results, result_lines, write_results
 from pairsift.sources.stopwords import stop_words
-from pairsift.stages import SETTING, shared_folder
+from pairsift.stages import SETTING
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -74,7 +76,7 @@ def test_partitions_do_not_matter(line_tables, conf, top, partitions):
 def test_stored_stages_do_not_matter(spark, line_tables, top, tmp_path):
     got = collocations(*line_tables, stage_dir=str(tmp_path))
     assert sorted(map(tuple, got.collect())) == top
-    assert {p.name for p in tmp_path.iterdir()} == {"unigram_counts", "bigram_counts"}
+    assert {p.name for p in tmp_path.iterdir()} == {"unigram_counts", "bigram_counts", "with_c1", "scored"}
     # A second run replaces the stages.
     got = collocations(line_tables[0], line_tables[1].limit(0), stage_dir=str(tmp_path))
     assert got.count() == 0
@@ -84,12 +86,15 @@ def test_funnel(spark, lines, tmp_path):
     bigrams = lines("big dog|1995|1", "big dog|1996|1", "the dog|1995|1", "big cat|1995|1", "x")
     unigrams = lines("big|1995|3", "Big|1995|3", "dog|1995|4", "7|1995|1")
     keep = keep_in(str(tmp_path))
-    pairs, words = counted_pairs(bigrams, keep=keep), counted_words(unigrams, keep)
+    summed_pairs = keep("pairs", stats.summed_lines(stats.read_bigrams(bigrams, stop_words()), ["decade", "w1", "w2"]))
+    summed_words = keep("words", stats.summed_lines(stats.read_unigrams(unigrams), ["decade", "w"]))
+    pairs, words = stats.accepted_sums(summed_pairs, "c12"), stats.accepted_sums(summed_words, "c")
+    assert sorted(pairs.collect()) == sorted(counted_pairs(bigrams).collect())
+    assert sorted(words.collect()) == sorted(counted_words(unigrams).collect())
+    assert sorted(stats.outcomes(summed_pairs).collect()) == sorted(bigram_outcomes(bigrams, stop_words()).collect())
+    assert sorted(stats.outcomes(summed_words).collect()) == sorted(unigram_outcomes(unigrams).collect())
     got = stage_funnel(
-        {
-            "bigram": (bigram_outcomes(bigrams, stop_words()), pairs),
-            "unigram": (unigram_outcomes(unigrams), words),
-        },
+        {"bigram": (stats.outcomes(summed_pairs), pairs), "unigram": (stats.outcomes(summed_words), words)},
         {"nothing": (pairs, pairs.limit(0))},
     )
     assert sorted(map(tuple, got.collect())) == [
@@ -137,55 +142,87 @@ def test_sink(spark, line_tables, top, tmp_path):
     assert sum(len(f.read_text().splitlines()) for f in files) == len(top)
 
 
-def write_sequence(df, path):
-    # Ids above 31 bits, as Python's small numbers would become IntWritable.
-    numbered = df.rdd.map(lambda r: r.value).zipWithIndex().map(lambda p: (p[1] + 2**40, p[0]))
-    numbered.saveAsNewAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        LONG_WRITABLE,
-        TEXT_WRITABLE,
-    )
-
-
-def test_sequence_files(spark, lines, tmp_path):
-    table = lines("a b|1995|7", "שלום|2001|3|9", "", "x")
-    write_sequence(table, str(tmp_path / "seq"))
+def test_sequence_files(spark, lines, tmp_path, plan_of):
+    long_line = "x" * 5000
+    table = lines("a b|1995|7", long_line, "שלום|2001|3|9", "", "x", *(f"w{i}|1990|{i}" for i in range(400)))
+    corpus.write_sequence(table.repartition(3), str(tmp_path / "seq"))
     back = read_sequence(spark, str(tmp_path / "seq"))
     assert back.schema == table.schema
     assert sorted(back.collect()) == sorted(table.collect())
-    assert parse_ngrams(back).count() == 2
+    assert parse_ngrams(back).count() == 402
+    assert "Python" not in plan_of(back)
 
 
-@pytest.mark.parametrize("file_format", ["text", "sequence"])
-def test_job(spark, line_tables, top, tmp_path, file_format):
+def line_files(line_tables, folder, file_format):
     paths = []
     for name, table in zip(("unigrams", "bigrams"), line_tables):
-        paths.append(str(tmp_path / name))
+        paths.append(str(folder / name))
         if file_format == "text":
             table.write.text(paths[-1])
         else:
-            write_sequence(table, paths[-1])
-    out = tmp_path / "out"
-    stages = ["--stage-dir", str(tmp_path / "stages")]
-    job.main([*paths, str(out), "2", "1", "--format", file_format, *stages])
-    got = sorted(line for f in out.glob("part-*") for line in f.read_text().splitlines())
-    expected = [f"{decade}\t{w1},{w2}" for decade, _, _, w1, w2 in top]
-    assert sorted(re.sub("\t.*\t", "\t", line) for line in got) == sorted(expected)
+            corpus.write_sequence(table, paths[-1])
+    return paths
 
 
-def fake_session(master, named=None, set_before=None):
-    folders = [set_before]
-    context = SimpleNamespace(
-        master=master, getCheckpointDir=lambda: folders[-1], setCheckpointDir=folders.append
-    )
-    return SimpleNamespace(conf={SETTING: named} if named else {}, sparkContext=context)
+def written(out):
+    lines = sorted(line for f in out.glob("part-*") for line in f.read_text().splitlines())
+    return [re.sub("\t.*\t", "\t", line) for line in lines]
+
 
+def expected_lines(top):
+    return sorted(f"{decade}\t{w1},{w2}" for decade, _, _, w1, w2 in top)
 
-def test_shared_folder():
-    assert shared_folder(fake_session("yarn", "hdfs://x")) == "hdfs://x"
-    assert shared_folder(fake_session("yarn", None, "hdfs://y")) == "hdfs://y"
+
+def test_job_with_four_arguments(line_tables, top, tmp_path):
+    out = tmp_path / "out"
+    job.main([*line_files(line_tables, tmp_path, "sequence"), str(out), "2"])
+    assert sorted(written(out)) == expected_lines(top)
+    # The stage tables nobody asked for are gone.
+    assert {p.name for p in tmp_path.iterdir()} == {"unigrams", "bigrams", "out"}
+
+
+def test_job_resumes(line_tables, top, tmp_path):
+    paths, out, kept = line_files(line_tables, tmp_path, "text"), tmp_path / "out", tmp_path / "kept"
+    job.main([*paths, str(out), "2", "1", "--format", "text", "--stage-dir", str(kept)])
+    assert sorted(written(out)) == expected_lines(top)
+    times = {p.name: p.stat().st_mtime_ns for p in kept.iterdir()}
+    # As if the run had failed after the pair counts.
+    for name in ("with_c1", "scored"):
+        (kept / name / "_SUCCESS").unlink()
+    job.main([*paths, str(out), "2", "--format", "text", "--stage-dir", str(kept), "--resume"])
+    assert sorted(written(out)) == expected_lines(top)
+    again = {p.name: p.stat().st_mtime_ns for p in kept.iterdir()}
+    assert {name for name in times if times[name] != again[name]} == {"with_c1", "scored"}
+    other = [paths[1], paths[0], str(out), "2", "--format", "text", "--stage-dir", str(kept), "--resume"]
+    with pytest.raises(ValueError, match="other inputs"):
+        job.main(other)
+    job.main([*paths, str(out), "1", "-k", "3", "--format", "text", "--stage-dir", str(kept)])
+    assert len(written(out)) == 36
+
+
+def test_results_are_read_back(spark, line_tables, top, tmp_path):
+    write_results(collocations(*line_tables), str(tmp_path / "out"), 3)
+    back = read_results(spark, str(tmp_path / "out"))
+    assert sorted(map(tuple, back.collect())) == sorted((d, s, a, b) for d, _, s, a, b in top)
+
+
+class FakeSession:
+    """A session with a master, a setting and a folder of its context."""
+
+    def __init__(self, master, named=None, set_before=None):
+        values = {"spark.sql.warehouse.dir": "file:/warehouse"} | ({SETTING: named} if named else {})
+        self.conf = values
+        self.sparkContext = SimpleNamespace(master=master, getCheckpointDir=lambda: set_before)
+
+
+def test_shared_folder(monkeypatch):
+    scheme = lambda spark, path: (SimpleNamespace(getUri=lambda: SimpleNamespace(getScheme=lambda: path.split(":")[0])), path)
+    monkeypatch.setattr(stages, "file_system", scheme)
+    assert stages.shared_folder(FakeSession("yarn", "hdfs://x")) == "hdfs://x"
+    assert stages.shared_folder(FakeSession("yarn", None, "hdfs://y")) == "hdfs://y"
     with pytest.raises(ValueError, match=SETTING):
-        shared_folder(fake_session("yarn"))
-    local = fake_session("local[4]")
-    assert shared_folder(local) == shared_folder(local)
+        stages.shared_folder(FakeSession("yarn"))
+    with pytest.raises(ValueError, match="single machine"):
+        stages.shared_folder(FakeSession("yarn", "file:/tmp/x"))
+    assert stages.shared_folder(FakeSession("local[4]", "file:/tmp/x")) == "file:/tmp/x"
+    assert stages.shared_folder(FakeSession("local[4]")) == "file:/warehouse/_stages"
