@@ -35,14 +35,6 @@ def kept(df: DataFrame, name: str) -> DataFrame:
         conf.set(CLEANUP, before)
 
 
-def discarded(df: DataFrame) -> None:
-    """Removes a table that :func:`kept` has stored and nobody needs any more."""
-    spark = df.sparkSession
-    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
-
-
 def whole_text(text: str) -> Column:
     """A text column in which null counts as the empty text."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept
+from pairsift.stages import discarded
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,13 +19,14 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = kept(links.where("a <> b").select("a", "b").distinct(), "links")
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    labels = nodes.withColumn("label", F.col("node"))
+    labels = kept(nodes.withColumn("label", F.col("node")), "labels")
     while not links.isEmpty():
         both = links.union(links.select("b", "a")).toDF("node", "near")
         nearest = both.groupBy("node").agg(F.least(F.min("near"), "node").alias("to"))
         nearest = kept(nearest, "nearest")
         step = nearest.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
         step = kept(nearest.join(step, "to").select("node", F.col("beyond").alias("to")), "steps")
+        done = [links, nearest, step, labels]
         labels = kept(
             labels.join(step.toDF("label", "to"), "label", "left").select(
                 "node", F.coalesce("to", "label").alias("label")
@@ -39,4 +41,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct(),
             "links",
         )
+        for table in done:
+            discarded(table)
+    discarded(links)
     return labels

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
+from pairsift.stages import discarded
 
 # Language families; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -137,16 +138,17 @@ def learn(
     draw = (F.xxhash64(F.lit("learn"), F.col(doc_id)) / 2.0**64) + 0.5
     vector = F.udf(lambda t: features(t).tolist(), "array<float>", useArrow=True)
     sample = kept(able.where(draw < share).select(F.col(lang).alias("lang"), vector(F.col(text)).alias("x")), "language_sample")
-    sample = sample.select("lang", array_to_vector("x").alias("x")).coalesce(8).persist()
+    vectors = sample.select("lang", array_to_vector("x").alias("x")).coalesce(8).persist()
     for a, b, ours, theirs in model.pairs():
-        duel = sample.where(F.col("lang").isin(ours + theirs)).select(
+        duel = vectors.where(F.col("lang").isin(ours + theirs)).select(
             F.col("lang").isin(ours).cast("double").alias("y"), "x"
         )
         machine = LinearSVC(
             featuresCol="x", labelCol="y", maxIter=iterations, regParam=1e-4, standardization=False
         ).fit(duel)
         model.machines[a, b] = machine.coefficients.toArray(), machine.intercept
-    sample.unpersist()
+    vectors.unpersist()
+    discarded(sample)
     return model
 
 

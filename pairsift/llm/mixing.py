@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
+from pairsift.stages import discarded
 
 # The first rule that a text meets names its topic.
 TOPICS = (
@@ -74,6 +75,7 @@ def rake(
         scale = everything / (total(present, "target") or 1.0)
         goal[name] = kept(present.select(name, (F.col("target") * scale).alias("goal")), "goals")
     now = cells.withColumn("wanted", F.col("tokens") * F.lit(float(share)))
+    last = None
     for _ in range(sweeps):
         for name in targets:
             factor = (
@@ -87,7 +89,12 @@ def rake(
             now = now.join(factor, name, "left").select(
                 *targets, "tokens", F.least(F.col("tokens").cast("double"), scaled).alias("wanted")
             )
-        now = kept(now, "raked")
+        before, now = last, kept(now, "raked")
+        if before is not None:
+            discarded(before)
+        last = now
+    for done in goal.values():
+        discarded(done)
     return now
 
 
@@ -135,6 +142,7 @@ def mix(
                 list(given.items()), f"{name} string, target double"
             )
     raked = rake(cells, goals, share)
+    discarded(cells)
     chances = raked.select(*names, (F.col("wanted") / F.col("tokens")).alias("probability"))
     # A source may own a third of the rows: a plain join, which adaptive execution
     # turns into a broadcast where the cells are few, and else splits.

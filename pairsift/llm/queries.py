@@ -98,5 +98,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_sharding": sql.sharding(list(SHARDS), list(GROWN)),
         "op3_exact_dedup": sql.EXACT_DEDUP,
         "op5_mixing": sql.mixing(),
+        "op9_substring_dedup": sql.SUBSTRINGS,
         "op10_license_scan": sql.licenses(),
     }

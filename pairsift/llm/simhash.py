@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
 from pairsift.llm.graph import components
+from pairsift.stages import discarded
 
 BITS = 64
 SEED = 42
@@ -342,10 +343,11 @@ def component_labels(
     stars = index.join(first, "key").where((F.col("a") != F.col("node")) & (apart("f0", "a0") <= distance))
     stars = kept(checked(stars.select("a", F.col("node").alias("b")).distinct()), "stars")
 
+    joined = components(stars)
     grouped_points = kept(
-        points.join(components(stars), "node", "left").withColumn("label", F.coalesce("label", "node")),
-        "grouped",
+        points.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node")), "grouped"
     )
+    discarded(joined)
     probes = probe_rows(grouped_points, plan).toDF("key", "a", "a0", "a_label")
     found = index_rows(grouped_points, plan, reached).toDF("key", "b", "b0", "b_label")
     # A plain join, so that adaptive execution can split a key that many share.
@@ -357,7 +359,10 @@ def component_labels(
         & (apart("a0", "b0") <= distance),
     )
     more = kept(checked(pairs.select("a", "b").distinct()), "found")
-    return components(stars.union(more))
+    labels = components(stars.union(more))
+    for done in (grouped_points, stars, more):
+        discarded(done)
+    return labels
 
 
 # ------------------------------------------------------------------ near copies
@@ -398,6 +403,8 @@ def grouped_rows(
     labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = kept(labelled.join(smallest, "label").select(*one, "component_id"), "members")
+    discarded(points)
+    discarded(labels)
     # Many documents may share a fingerprint: a plain join over stored tables, which
     # adaptive execution splits.
     return rows.join(found, one).select("doc_id", "text_hash", *names, "component_id")

@@ -20,6 +20,21 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM documents JOIN g ON coalesce(text, '') = t
 """
 
+SUBSTRINGS = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS s
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+firsts AS (SELECT s, min(doc_id) AS least FROM win GROUP BY s),
+hits AS (SELECT doc_id, i FROM win JOIN firsts USING (s) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM hits),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+sides AS (SELECT words.doc_id, count(gone.p) AS n_removed,
+                 string_agg(word, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept
+          FROM words LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY ALL)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN sides USING (doc_id)
+"""
+
 
 def sharding(shards: list[int], grown: list[int], slot_buckets: int = 1024) -> str:
     bids = ", ".join(

@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairsift.llm.common import discarded, kept, whole_text
+from pairsift.llm.common import kept, whole_text
 from pairsift.llm.recompression import window_hashes, window_keys, words_of
+from pairsift.stages import discarded
 
 LAST = (1 << 63) - 1  # the place of rows without an id: after all others
 BYTES_AT_ONCE = 2_000_000
@@ -238,7 +239,8 @@ def dedup(
     marks = later.groupBy("place", "text_hash").agg(F.collect_list("at").alias("at"))
     whole = copies.select("place", "text_hash", F.lit(True).alias("copy"), F.lit(None).cast("array<bigint>").alias("at"))
     gone = kept(whole.unionByName(marks.withColumn("copy", F.lit(False))), "marks")
-    discarded(seen)
+    for done in (seen, spans, copies, digests):
+        discarded(done)
 
     decided = all_texts.join(gone, ["place", "text_hash"], "left")
     return shortened(decided.withColumn("copy", F.coalesce("copy", F.lit(False))), width, with_text)
