@@ -102,7 +102,8 @@ def ranges(docs: DataFrame, doc_id: str, parts: int) -> Column:
         F.lit(len(knots) - 1),
     )
     low, high = F.element_at(edges, knot), F.element_at(edges, knot + 1)
-    inside = F.floor((F.col(doc_id) - low).cast("double") / (high - low) * cuts)
+    width = high.cast("double") - low.cast("double")
+    inside = F.floor((F.col(doc_id).cast("double") - low.cast("double")) / width * cuts)
     inside = F.least(F.greatest(inside, F.lit(0)), F.lit(cuts - 1))
     return F.when(F.col(doc_id).isNull(), -1).otherwise((knot * cuts + inside).cast("int"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
@@ -20,6 +20,7 @@ TOPICS = (
 OTHER_TOPIC = "prose"
 UNKNOWN = "?"
 HASH_DIGITS = 13
+STORED = 4  # sweeps after which the cells are stored
 
 # Shares are tokens raised to these powers: 1 keeps a marginal, 0 makes it even.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
@@ -65,40 +66,36 @@ def rake(
     what it lacks, others of the same marginal give in later sweeps. Targets that the
     cells cannot meet together leave the last dimension closest to its own. A category
     without a target gives nothing, a target of a category without tokens asks for
-    nothing. Cells may be many, so they stay a table; one number per dimension
-    comes to the driver.
+    nothing. Cells may be many, so they stay a table (one row for each source,
+    language and topic that occur together, however many documents there are), stored
+    every few sweeps; one number per dimension comes to the driver.
     """
-    goal = {}
     everything = total(cells, "tokens") * share
+    now = cells.withColumn("wanted", F.col("tokens") * F.lit(float(share)))
     for name, target in targets.items():
         present = target.join(cells.select(name).distinct(), name)
         scale = everything / (total(present, "target") or 1.0)
-        goal[name] = kept(present.select(name, (F.col("target") * scale).alias("goal")), "goals")
-    now = cells.withColumn("wanted", F.col("tokens") * F.lit(float(share)))
-    last = None
-    for _ in range(sweeps):
+        now = now.join(present.select(name, (F.col("target") * scale).alias(f"goal_{name}")), name, "left")
+    now = last = kept(now, "raked")
+    for sweep in range(1, sweeps + 1):
         for name in targets:
-            factor = (
-                now.groupBy(name)
-                .agg(F.sum("wanted").alias("sum"))
-                .join(goal[name], name)
-                .where("sum > 0")
-                .select(name, (F.col("goal") / F.col("sum")).alias("factor"))
-            )
-            scaled = F.col("wanted") * F.coalesce("factor", F.lit(0.0))
-            now = now.join(factor, name, "left").select(
-                *targets, "tokens", F.least(F.col("tokens").cast("double"), scaled).alias("wanted")
-            )
-        before, now = last, kept(now, "raked")
-        if before is not None:
-            discarded(before)
-        last = now
-    for done in goal.values():
-        discarded(done)
-    return now
+            found = F.sum("wanted").over(Window.partitionBy(name))
+            factor = F.when(found > 0, F.col(f"goal_{name}") / found)
+            scaled = F.col("wanted") * F.coalesce(factor, F.lit(0.0))
+            now = now.withColumn("wanted", F.least(F.col("tokens").cast("double"), scaled))
+        if sweep % STORED == 0 or sweep == sweeps:
+            now = kept(now, "raked")
+            discarded(last)
+            last = now
+    return now.select(*targets, "tokens", "wanted")
 
 
-def mix(
+def record_key(doc_id: str, text: str) -> Column:
+    """What a row is drawn by: its id, or the digest of its text if it has none."""
+    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("text "), F.md5(whole_text(text))))
+
+
+def draws(
     docs: DataFrame,
     targets: Mapping[str, Mapping[str, float]] | None = None,
     share: float = 0.5,
@@ -107,17 +104,7 @@ def mix(
     text: str = "text",
     topics: Sequence[tuple[str, str]] = TOPICS,
 ) -> DataFrame:
-    """``doc_id, source, lang, topic, n_tokens, probability, sampled`` of every row.
-
-    Tokens per source, language and topic are raked to the ``targets`` (shares by
-    dimension and category; where none are given, the shares found, tempered by
-    :data:`POWERS`) for ``share`` of all tokens. A cell's wanted tokens divided by its
-    tokens are the probability of its documents, and a document is sampled if a hash
-    of its id and the seed lies below that, so the same ids are drawn whatever the
-    partitioning, and repeated rows alike. A row without an id is drawn by a hash of
-    its text. A null source or language is the category ``?``; a null text is empty
-    and counts one token. An empty table gives an empty result.
-    """
+    """The result of :func:`mix` with the ``key`` that each row was drawn by."""
     body = whole_text(text)
     rows = kept(
         docs.select(
@@ -126,7 +113,7 @@ def mix(
             F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
             topic_of(body, topics).alias("topic"),
             tokens(body).alias("n_tokens"),
-            F.when(F.col(doc_id).isNull(), F.md5(body)).alias("text_md5"),
+            record_key(doc_id, text).alias("key"),
         ),
         "mixing_rows",
     )
@@ -146,17 +133,32 @@ def mix(
     chances = raked.select(*names, (F.col("wanted") / F.col("tokens")).alias("probability"))
     # A source may own a third of the rows: a plain join, which adaptive execution
     # turns into a broadcast where the cells are few, and else splits.
-    key = F.coalesce(F.col("doc_id").cast("string"), F.col("text_md5"))
     return rows.join(chances, names).select(
-        "doc_id", *names, "n_tokens",
+        "doc_id", "key", *names, "n_tokens",
         F.round("probability", 6).alias("probability"),
-        (uniform(key, seed) < F.col("probability")).alias("sampled"),
+        (uniform(F.col("key"), seed) < F.col("probability")).alias("sampled"),
     )
 
 
+def mix(docs: DataFrame, *args, **options) -> DataFrame:
+    """``doc_id, source, lang, topic, n_tokens, probability, sampled`` of every row.
+
+    Tokens per source, language and topic are raked to the ``targets`` (shares by
+    dimension and category; where none are given, the shares found, tempered by
+    :data:`POWERS`) for ``share`` of all tokens. A cell's wanted tokens divided by its
+    tokens are the probability of its documents, and a document is sampled if a hash
+    of its id and the seed lies below that, so the same ids are drawn whatever the
+    partitioning, and repeated rows alike. A row without an id is drawn by a hash of
+    its text. A null source or language is the category ``?``; a null text is empty
+    and counts one token. An empty table gives an empty result. The arguments are
+    those of :func:`draws`.
+    """
+    return draws(docs, *args, **options).drop("key")
+
+
 def sampled_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that :func:`mix` samples, all columns."""
-    drawn = mix(docs, doc_id=doc_id, text=text, **options).where("sampled")
-    by_id = drawn.where("doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    rows = docs.select(F.col(doc_id).cast("long").alias("_id"), F.struct("*").alias("_row"))
-    return rows.join(by_id, "_id", "left_semi").select("_row.*")
+    drawn = draws(docs, doc_id=doc_id, text=text, **options).where("sampled")
+    keys = drawn.select(F.col("key").alias("_key")).distinct()
+    rows = docs.select(record_key(doc_id, text).alias("_key"), F.struct("*").alias("_row"))
+    return rows.join(keys, "_key", "left_semi").select("_row.*")

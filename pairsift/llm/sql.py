@@ -71,7 +71,7 @@ WITH d AS (SELECT *, coalesce(text, '') AS t FROM documents),
 r AS (SELECT doc_id, coalesce(source, '?') AS source, coalesce(lang, '?') AS lang,
         CASE {topic} ELSE '{mix.OTHER_TOPIC}' END AS topic,
         greatest(len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')), 1) AS n_tokens,
-        coalesce(doc_id::VARCHAR, md5(t)) AS k FROM d),
+        coalesce(doc_id::VARCHAR, 'text ' || md5(t)) AS k FROM d),
 c AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM r GROUP BY ALL)"""]
     for name, power in mix.POWERS.items():
         parts.append(
