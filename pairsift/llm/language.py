@@ -115,7 +115,7 @@ def held_out(doc_id: str):
 def learn(
     docs: DataFrame,
     per_language: int = 1000,
-    iterations: int = 30,
+    iterations: int = 15,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
