@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pairsift.llm.common import whole_text
 
 # Finds that a memo of a Python worker keeps, and as many of the time before.
-MEMO = 400_000
+MEMO = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
