@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairsift.llm.common import kept, whole_text
+from pairsift.llm.common import any_of, kept, whole_text
 from pairsift.llm.graph import components
 from pairsift.stages import discarded
 
@@ -261,45 +262,49 @@ def key_of(part: int, values: np.ndarray, band: np.ndarray) -> np.ndarray:
     return (band.astype(np.int64) << 36) | (np.int64(part) << 32) | values
 
 
-KEYED = ("key", "node", "f0", "label")
-
-
-def batches_of(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(columns[0]), CHUNK):
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(x[at : at + CHUNK], pa.int64()) for x in columns], list(KEYED)
-        )
-
+def keyed(
+    points: DataFrame, prints: list[str], rows: Callable[..., Iterator[tuple[np.ndarray, ...]]]
+) -> DataFrame:
+    """``key, node, label``, the prints and ``used``: the points under keys.
 
-def keyed(points: DataFrame, rows: Callable[..., Iterator[pa.RecordBatch]]) -> DataFrame:
-    """``key, node, f0, label``: what ``rows`` makes of the points of a batch."""
+    ``rows`` gets the first prints and the bands of a batch and yields keys, the rows
+    that they belong to, and for each row of the batch a number that goes along: for
+    probes the units of its partitions, four bits each.
+    """
+    names = ["node", "label", *prints, "used"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from rows(*(column.to_numpy() for column in batch.columns))
+            columns = [column.to_numpy() for column in batch.columns]
+            for key, own, used in rows(columns[2], columns[-1]):
+                for at in range(0, len(key), CHUNK):
+                    cut = slice(at, at + CHUNK)
+                    arrays = [key[cut], *(column[own[cut]] for column in columns[:-1]), used[own[cut]]]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(x, pa.int64()) for x in arrays], ["key", *names]
+                    )
 
-    return points.select("node", "f0", "label", "band").mapInArrow(
-        run, ", ".join(f"{name} long" for name in KEYED)
-    )
+    return points.select(*names[:-1], "band").mapInArrow(run, ", ".join(f"{n} long" for n in ["key", *names]))
 
 
-def index_rows(points: DataFrame, plan: Plan, bands: tuple[int, ...]) -> DataFrame:
+def index_rows(points: DataFrame, prints: list[str], plan: Plan, bands: tuple[int, ...]) -> DataFrame:
     """Every point under its value in each partition, in its own and the given bands."""
 
-    def rows(node, f0, label, band) -> Iterator[pa.RecordBatch]:
+    def rows(f0: np.ndarray, band: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         for part, values in enumerate(plan.values(bits_of(f0))):
             for shift in bands:
-                yield from batches_of(key_of(part, values, band + shift), node, f0, label)
+                yield key_of(part, values, band + shift), np.arange(len(f0)), np.zeros_like(f0)
 
-    return keyed(points, rows)
+    return keyed(points, prints, rows)
 
 
-def probe_rows(points: DataFrame, plan: Plan) -> DataFrame:
+def probe_rows(points: DataFrame, prints: list[str], plan: Plan) -> DataFrame:
     """Every point under all values that its thresholds reach."""
 
-    def rows(node, f0, label, band) -> Iterator[pa.RecordBatch]:
+    def rows(f0: np.ndarray, band: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         bits = bits_of(f0)
         chosen = allocate(plan.costs(bits), plan.units)
+        packed = sum(used.astype(np.int64) << (4 * part) for part, used in enumerate(chosen))
         for part, (values, used) in enumerate(zip(plan.values(bits), chosen)):
             for units in range(1, plan.reach + 1):
                 at = np.flatnonzero(used == units)
@@ -309,10 +314,9 @@ def probe_rows(points: DataFrame, plan: Plan) -> DataFrame:
                     own = at[begin : begin + step]
                     reached = (values[own][:, None] ^ flips[None, :]).ravel()
                     again = np.repeat(own, len(flips))
-                    key = key_of(part, reached, band[again])
-                    yield from batches_of(key, node[again], f0[again], label[again])
+                    yield key_of(part, reached, band[again]), again, packed
 
-    return keyed(points, rows)
+    return keyed(points, prints, rows)
 
 
 def apart(a: str, b: str) -> Column:
@@ -320,45 +324,86 @@ def apart(a: str, b: str) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
 
 
-def component_labels(
-    points: DataFrame, distance: int, bands: bool, checked: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def met_before(plan: Plan) -> Column:
+    """Whether a probe ``a`` and a point ``b`` that meet under ``a_key`` do so in an
+    earlier partition too: two points are returned once, not for each partition."""
+    part = F.shiftright("a_key", 32).bitwiseAND(F.lit(15))
+    differ = F.col("a_f0").bitwiseXOR(F.col("b_f0"))
+    found = []
+    for number, group in enumerate(plan.groups[:-1]):
+        mask = sum(1 << bit for bit in group)
+        signed = mask - (1 << BITS) if mask >> (BITS - 1) else mask
+        units = F.shiftright("a_used", 4 * number).bitwiseAND(F.lit(15))
+        found.append((part > number) & (F.bit_count(differ.bitwiseAND(F.lit(signed))) < units))
+    return any_of(found)
+
+
+@dataclass
+class Test:
+    """When two fingerprints are alike.
+
+    Their first prints differ in at most ``distance`` bits, and all of ``prints``
+    together, which go along with every key, in at most ``wide`` if that is given.
+    ``rest`` keeps the links (``a, b``) that pass what else is asked.
+    """
+
+    distance: int
+    prints: list[str]
+    wide: int | None = None
+    rest: Callable[[DataFrame], DataFrame] = lambda links: links
+
+    def alike(self, a: str, b: str) -> Column:
+        """Of rows whose prints are named ``a_f0, ...`` and ``b_f0, ...``."""
+        found = apart(f"{a}_f0", f"{b}_f0") <= self.distance
+        if self.wide is not None:
+            every = [apart(f"{a}_{name}", f"{b}_{name}") for name in self.prints]
+            found = found & (reduce(lambda x, y: x + y, every) <= self.wide)
+        return found
+
+
+def component_labels(points: DataFrame, test: Test, bands: bool) -> DataFrame:
     """``node, label`` of all points that are linked to others.
 
-    Points are ``node, f0, band``. Any two within the distance (and in equal or, with
-    ``bands``, neighbouring bands) are found by the probes of either; ``checked``
-    keeps the links (``a, b``) that pass a further test. A group of many like points
-    would give all its pairs; so points are linked to the first one under each of
-    their keys before, and the search returns only what links different groups.
+    Points are ``node, band`` and the prints. Any two that are alike (and in equal or,
+    with ``bands``, neighbouring bands) are found by the probes of either. A group of
+    many like points would give all its pairs; so points are linked to the first one
+    under each of their keys before, and the search returns only what links different
+    groups.
     """
+    prints = test.prints
     sizes = {row["band"]: row["count"] for row in points.groupBy("band").count().collect()}
     reached = (-1, 0, 1) if bands else (0,)
     met = sum(n * sizes.get(band + i, 0) for band, n in sizes.items() for i in reached)
-    plan = planned(points, distance, met / max(sum(sizes.values()), 1))
+    plan = planned(points, test.distance, met / max(sum(sizes.values()), 1))
+
+    def side(rows: DataFrame, letter: str) -> DataFrame:
+        names = [F.col(n).alias(f"{letter}_{n}") for n in ("label", *prints, "used")]
+        return rows.select("key", F.col("node").alias(letter), *names)
 
     alone = points.withColumn("label", F.col("node"))
-    index = index_rows(alone, plan, (0,))
-    first = index.groupBy("key").agg(F.min(F.struct("node", "f0")).alias("first"))
-    first = first.select("key", F.col("first.node").alias("a"), F.col("first.f0").alias("a0"))
-    stars = index.join(first, "key").where((F.col("a") != F.col("node")) & (apart("f0", "a0") <= distance))
-    stars = kept(checked(stars.select("a", F.col("node").alias("b")).distinct()), "stars")
+    index = index_rows(alone, prints, plan, (0,))
+    first = index.groupBy("key").agg(F.min(F.struct("node", "label", *prints, "used")).alias("first"))
+    stars = side(index, "b").join(side(first.select("key", "first.*"), "a"), "key")
+    stars = stars.where((F.col("a") != F.col("b")) & test.alike("a", "b"))
+    stars = kept(test.rest(stars.select("a", "b").distinct()), "stars")
 
     joined = components(stars)
     grouped_points = kept(
         points.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node")), "grouped"
     )
     discarded(joined)
-    probes = probe_rows(grouped_points, plan).toDF("key", "a", "a0", "a_label")
-    found = index_rows(grouped_points, plan, reached).toDF("key", "b", "b0", "b_label")
+    probes = side(probe_rows(grouped_points, prints, plan), "a").withColumnRenamed("key", "a_key")
+    found = side(index_rows(grouped_points, prints, plan, reached), "b")
     # A plain join, so that adaptive execution can split a key that many share.
     pairs = probes.join(
         found,
-        (probes["key"] == found["key"])
-        & (probes["a"] < found["b"])
-        & (probes["a_label"] != found["b_label"])
-        & (apart("a0", "b0") <= distance),
+        (F.col("a_key") == F.col("key"))
+        & (F.col("a") < F.col("b"))
+        & (F.col("a_label") != F.col("b_label"))
+        & test.alike("a", "b")
+        & ~met_before(plan),
     )
-    more = kept(checked(pairs.select("a", "b").distinct()), "found")
+    more = kept(test.rest(pairs.select("a", "b").distinct()), "found")
     labels = components(stars.union(more))
     for done in (grouped_points, stars, more):
         discarded(done)
@@ -373,6 +418,8 @@ def grouped_rows(
     distance: int,
     words: int,
     prints: int = 1,
+    carried: int = 1,
+    carried_distance: int | None = None,
     wide_distance: int | None = None,
     size_ratio: float | None = None,
     repeats: bool = True,
@@ -396,10 +443,11 @@ def grouped_rows(
         if wide_distance is None:
             return links
         ends = [points.select(F.col("node").alias(e), *(F.col(n).alias(f"{e}_{n}") for n in names)) for e in "ab"]
-        differ = sum((apart(f"a_{n}", f"b_{n}") for n in names[1:]), apart("a_f0", "b_f0"))
+        differ = reduce(lambda x, y: x + y, [apart(f"a_{n}", f"b_{n}") for n in names])
         return links.join(ends[0], "a").join(ends[1], "b").where(differ <= wide_distance).select("a", "b")
 
-    labels = component_labels(points.select("node", "f0", "band"), distance, size_ratio is not None, checked)
+    test = Test(distance, names[:carried], carried_distance, checked)
+    labels = component_labels(points.select("node", "band", *names[:carried]), test, size_ratio is not None)
     labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
     found = kept(labelled.join(smallest, "label").select(*one, "component_id"), "members")
@@ -437,6 +485,7 @@ def near_duplicates(
 def survivors(
     docs: DataFrame,
     distance: int = 12,
+    carried_distance: int = 46,
     wide_distance: int = 88,
     words: int = 5,
     size_ratio: float = 0.8,
@@ -447,11 +496,15 @@ def survivors(
 
     Texts are linked if they share about 0.8 or more of their different five-word
     shingles: their numbers may differ by the ratio 0.8, their 64-bit fingerprints in
-    ``distance`` bits, and their 512-bit ones in ``wide_distance``. Two texts with a
+    ``distance`` bits, their 256-bit ones in ``carried_distance`` (tested where two
+    meet, so that a group of texts that are less alike does not give all its pairs),
+    and their 512-bit ones in ``wide_distance``. Two texts with a
     Jaccard similarity of 0.8 differ in 78 of 512 bits on average (standard deviation
     8), of 0.7 in 98, of 0.6 in 118. Rows of a group without any id all stay.
     """
-    found = grouped_rows(docs, distance, words, WIDE, wide_distance, size_ratio, False, doc_id, text)
+    found = grouped_rows(
+        docs, distance, words, WIDE, WIDE // 2, carried_distance, wide_distance, size_ratio, False, doc_id, text
+    )
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     rows = docs.select(

@@ -70,7 +70,7 @@ def test_search_misses_no_link(spark, distance):
     values |= {rnd.getrandbits(64) for _ in range(600)}
     signed = [v - (1 << 64) if v >> 63 else v for v in sorted(values)]
     points = spark.createDataFrame([(v, v, 0) for v in signed], "node long, f0 long, band long")
-    labels = dict(got(simhash.component_labels(points, distance, False, lambda links: links)))
+    labels = dict(got(simhash.component_labels(points, simhash.Test(distance, ["f0"]), False)))
     ours, theirs = {}, {}
     least = smallest_reachable([(v, v) for v in sorted(values)], distance)
     for value, s in zip(sorted(values), signed):
