@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairsift.llm import jaccard
 from pairsift.llm.common import any_of, kept, whole_text
 from pairsift.llm.graph import components
 from pairsift.stages import discarded
@@ -483,28 +484,27 @@ def near_duplicates(
 
 
 def survivors(
-    docs: DataFrame,
-    distance: int = 12,
-    carried_distance: int = 46,
-    wide_distance: int = 88,
-    words: int = 5,
-    size_ratio: float = 0.8,
-    doc_id: str = "doc_id",
-    text: str = "text",
+    docs: DataFrame, similarity: float = 0.8, words: int = 5, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` without near copies, all columns; the smallest id of a group stays.
 
-    Texts are linked if they share about 0.8 or more of their different five-word
-    shingles: their numbers may differ by the ratio 0.8, their 64-bit fingerprints in
-    ``distance`` bits, their 256-bit ones in ``carried_distance`` (tested where two
-    meet, so that a group of texts that are less alike does not give all its pairs),
-    and their 512-bit ones in ``wide_distance``. Two texts with a
-    Jaccard similarity of 0.8 differ in 78 of 512 bits on average (standard deviation
-    8), of 0.7 in 98, of 0.6 in 118. Rows of a group without any id all stay.
+    Texts are linked if the exact Jaccard similarity of their different shingles of
+    ``words`` words is at least ``similarity``; a text of fewer words has one shingle,
+    the whole sequence. Fingerprints cannot find these pairs without losses, so none
+    are used: see :func:`jaccard.labels`. Rows of a group without any id all stay.
     """
-    found = grouped_rows(
-        docs, distance, words, WIDE, WIDE // 2, carried_distance, wide_distance, size_ratio, False, doc_id, text
-    )
+
+    def hashes_of(body: str) -> np.ndarray:
+        return np.unique(shingle_hashes(body, words))
+
+    members = kept(jaccard.members(docs, hashes_of, doc_id, text), "members")
+    labels = jaccard.labels(docs, members, hashes_of, similarity, text)
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = kept(labelled.select("doc_id", "text_hash", "label"), "labelled")
+    smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    found = labelled.join(smallest, "label")
+    discarded(members)
+    discarded(labels)
     gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     rows = docs.select(

@@ -132,3 +132,60 @@ def test_empty_table(spark):
     empty = documents(spark, [(1, "x")]).where("doc_id > 1")
     assert simhash.near_duplicates(empty).collect() == []
     assert simhash.survivors(empty).collect() == []
+
+
+def shingle_set(text):
+    found = words_of(text.lower())
+    return {" ".join(found[i : i + 5]) for i in range(max(1, len(found) - 4))} if found else set()
+
+
+def smallest_of_groups(rows):
+    """For each row the smallest id that links of 0.8 Jaccard similarity lead to, by all pairs."""
+    sets = [shingle_set(text) for _, text in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both, all_ = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if group[i] != group[j] and 5 * both >= 4 * all_:
+                group = [group[j] if g == group[i] else g for g in group]
+    return [min(rows[k][0] for k in range(len(rows)) if group[k] == g) for g in group]
+
+
+def near_texts(seed):
+    """Texts of 5 to 15 words and of 100 to 400, with copies on both sides of 0.8."""
+    rnd = random.Random(seed)
+    words, texts = [f"w{i}" for i in range(3000)], []
+    for length in range(5, 16):
+        base = rnd.choices(words, k=length)
+        texts += [base, [*base, "more"], ["more", *base], base[:-1], [*base[:-1], "last"]]
+    for length in (100, 200, 400):
+        for changes in range(1, length // 20):
+            base = rnd.choices(words, k=length)
+            for _ in range(3):
+                copy = list(base)
+                for at in rnd.sample(range(length), changes):
+                    copy[at] = rnd.choice(words)
+                texts.append(copy)
+            cut = length - 4
+            for share in (0.25, 0.21, 0.2, 0.19, 0.15, 0.1):
+                texts.append(base[: round(cut * (1 - share)) + 4])
+            texts.append(base)
+    rnd.shuffle(texts)
+    return [(i, " ".join(text)) for i, text in enumerate(texts)]
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_survivors_follow_exact_similarity(spark, seed):
+    rows = near_texts(seed)
+    wanted = sorted(set(smallest_of_groups(rows)))
+    assert sorted(row.doc_id for row in simhash.survivors(documents(spark, rows)).collect()) == wanted
+
+
+def test_survivors_at_the_limit(spark):
+    eight = "a b c d e f g h"  # four shingles of five: J = 0.8
+    long = [f"w{i}" for i in range(504)]
+    rows = [(1, eight), (2, f"{eight} i"), (3, " ".join(long)), (4, " ".join(long[:404])), (5, " ".join(long[:403]))]
+    # 400 of 500 shingles are shared by 3 and 4; 5 has 399 of 500, but 399 of 400 of 4.
+    assert sorted(row.doc_id for row in simhash.survivors(documents(spark, rows)).collect()) == [1, 3]
+    rows.remove(rows[3])
+    assert sorted(row.doc_id for row in simhash.survivors(documents(spark, rows)).collect()) == [1, 3, 5]
