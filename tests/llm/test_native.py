@@ -231,3 +231,26 @@ def test_empty_table(spark, run):
 def test_sql_is_for_registered_queries():
     assert set(queries.oracle_sql()) <= set(queries.QUERIES)
     assert "0x" in sql.sharding([0], [0, 1])
+
+
+def test_license_broken_over_lines_after_a_line_without_a_stop(spark):
+    apache = (
+        "// Copyright 2020 Foo Authors\n"
+        '// Licensed under the Apache License, Version 2.0 (the "License");\n'
+        "// you may not use this file except in compliance with the License.\n"
+        "// You may obtain a copy\n// of the License at\n//     http://www.apache.org/licenses/LICENSE-2.0\n"
+        "// Unless required by applicable law or agreed to in writing, software\n"
+        '// distributed under the License is distributed on an "AS IS" BASIS,\n'
+        "// WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\n"
+    )
+    redistribution = "Copyright (c) Foo\nRedistribution and use in source and binary forms, with or without\n"
+    redistribution += "modification, are permitted provided that the following conditions\r\nare met:\n"
+    one_word_a_line = "by Foo\n" + "\n".join("Licensed under the MIT License".split())
+    rows = [(1, apache), (2, redistribution), (3, one_word_a_line), (4, "x\nLicensed under\nthe Foo License\n")]
+    found = {r.doc_id: (r.sentence_ids, r.licenses, r.status) for r in licenses.scan(documents(spark, rows)).collect()}
+    assert found == {
+        1: ("apache2-grant,apache2-copy,apache2-basis", "Apache-2.0", "known"),
+        2: ("bsd-redistribution", "", "sentences"),
+        3: ("mit-ref", "MIT", "known"),
+        4: ("", "", "unknown"),
+    }
