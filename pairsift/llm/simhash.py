@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -14,14 +13,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairsift.llm import jaccard
 from pairsift.llm.common import any_of, kept, whole_text
 from pairsift.llm.graph import components
 from pairsift.stages import discarded
 
 BITS = 64
 SEED = 42
-WIDE = 8  # fingerprints that make the one of 512 bits
 BLOCK = 1 << 15  # shingles whose bits are counted at a time
 PARTS = range(2, 9)  # numbers of partitions to choose from
 PROBE_COST = 50.0  # what one probe costs, in comparisons of two fingerprints
@@ -44,55 +41,32 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     return np.array(hashes, np.uint64)
 
 
-def mixed(hashes: np.ndarray, turn: int) -> np.ndarray:
-    """Other hashes made of hashes; the same ones for turn 0."""
-    if turn == 0:
-        return hashes
-    h = hashes + np.uint64(turn * 0x9E3779B97F4A7C15 % (1 << 64))
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
-
-
-def fingerprint(hashes: np.ndarray, turn: int = 0) -> int:
+def fingerprint(hashes: np.ndarray) -> int:
     """A bit is 1 if it is set in over half of the hashes; signed as Spark's bigint."""
     votes = np.zeros(BITS, np.int64)
     for begin in range(0, len(hashes), BLOCK):
-        block = mixed(hashes[begin : begin + BLOCK], turn)
+        block = hashes[begin : begin + BLOCK]
         bits = np.unpackbits(block.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         votes += bits.sum(axis=0, dtype=np.int64)
     bits = (2 * votes > len(hashes)).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(
-    docs: DataFrame, words: int, prints: int, repeats: bool, doc_id: str, text: str
-) -> DataFrame:
-    """``doc_id, text_hash, size, f0, f1, ...``: shingles and fingerprints of every row.
-
-    A shingle that comes again counts again with ``repeats``, else once.
-    """
-    names = [f"f{i}" for i in range(prints)]
+def fingerprints(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, text_hash, f0``: the fingerprint of every row."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for body in batch.column(2):
-                hashes = shingle_hashes(body.as_py(), words)
-                if not repeats:
-                    hashes = np.unique(hashes)
-                rows.append((len(hashes), *(fingerprint(hashes, turn) for turn in range(prints))))
-            columns = list(zip(*rows)) if rows else [()] * (prints + 1)
+            prints = [fingerprint(shingle_hashes(body.as_py(), words)) for body in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in columns)],
-                ["doc_id", "text_hash", "size", *names],
+                [batch.column(0), batch.column(1), pa.array(prints, pa.int64())], ["doc_id", "text_hash", "f0"]
             )
 
     body = whole_text(text)
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(body).alias("text_hash"), body.alias("text")
     )
-    return rows.mapInArrow(compute, ", ".join(f"{n} long" for n in ["doc_id", "text_hash", "size", *names]))
+    return rows.mapInArrow(compute, "doc_id long, text_hash long, f0 long")
 
 
 # ------------------------------------------------------------------- the search
@@ -259,50 +233,45 @@ def planned(points: DataFrame, distance: int, rivals: float) -> Plan:
     return Plan(groups, units, reach, blocks, [[next(shares) for _ in part] for part in blocks], rivals)
 
 
-def key_of(part: int, values: np.ndarray, band: np.ndarray) -> np.ndarray:
-    return (band.astype(np.int64) << 36) | (np.int64(part) << 32) | values
+def key_of(part: int, values: np.ndarray) -> np.ndarray:
+    return (np.int64(part) << 32) | values
 
 
-def keyed(
-    points: DataFrame, prints: list[str], rows: Callable[..., Iterator[tuple[np.ndarray, ...]]]
-) -> DataFrame:
-    """``key, node, label``, the prints and ``used``: the points under keys.
+def keyed(points: DataFrame, rows: Callable[..., Iterator[tuple[np.ndarray, ...]]]) -> DataFrame:
+    """``key, f0, label, used``: the points under keys.
 
-    ``rows`` gets the first prints and the bands of a batch and yields keys, the rows
-    that they belong to, and for each row of the batch a number that goes along: for
-    probes the units of its partitions, four bits each.
+    ``rows`` gets the fingerprints of a batch and yields keys, the rows that they
+    belong to, and for each row of the batch a number that goes along: for probes the
+    units of its partitions, four bits each.
     """
-    names = ["node", "label", *prints, "used"]
+    names = ["key", "f0", "label", "used"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [column.to_numpy() for column in batch.columns]
-            for key, own, used in rows(columns[2], columns[-1]):
+            f0, label = (column.to_numpy() for column in batch.columns)
+            for key, own, used in rows(f0):
                 for at in range(0, len(key), CHUNK):
                     cut = slice(at, at + CHUNK)
-                    arrays = [key[cut], *(column[own[cut]] for column in columns[:-1]), used[own[cut]]]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x, pa.int64()) for x in arrays], ["key", *names]
-                    )
+                    arrays = [key[cut], f0[own[cut]], label[own[cut]], used[own[cut]]]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], names)
 
-    return points.select(*names[:-1], "band").mapInArrow(run, ", ".join(f"{n} long" for n in ["key", *names]))
+    return points.select("f0", "label").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
-def index_rows(points: DataFrame, prints: list[str], plan: Plan, bands: tuple[int, ...]) -> DataFrame:
-    """Every point under its value in each partition, in its own and the given bands."""
+def index_rows(points: DataFrame, plan: Plan) -> DataFrame:
+    """Every point under its value in each partition."""
 
-    def rows(f0: np.ndarray, band: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def rows(f0: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         for part, values in enumerate(plan.values(bits_of(f0))):
-            for shift in bands:
-                yield key_of(part, values, band + shift), np.arange(len(f0)), np.zeros_like(f0)
+            yield key_of(part, values), np.arange(len(f0)), np.zeros_like(f0)
 
-    return keyed(points, prints, rows)
+    return keyed(points, rows)
 
 
-def probe_rows(points: DataFrame, prints: list[str], plan: Plan) -> DataFrame:
+def probe_rows(points: DataFrame, plan: Plan) -> DataFrame:
     """Every point under all values that its thresholds reach."""
 
-    def rows(f0: np.ndarray, band: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def rows(f0: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         bits = bits_of(f0)
         chosen = allocate(plan.costs(bits), plan.units)
         packed = sum(used.astype(np.int64) << (4 * part) for part, used in enumerate(chosen))
@@ -314,10 +283,9 @@ def probe_rows(points: DataFrame, prints: list[str], plan: Plan) -> DataFrame:
                 for begin in range(0, len(at), step):
                     own = at[begin : begin + step]
                     reached = (values[own][:, None] ^ flips[None, :]).ravel()
-                    again = np.repeat(own, len(flips))
-                    yield key_of(part, reached, band[again]), again, packed
+                    yield key_of(part, reached), np.repeat(own, len(flips)), packed
 
-    return keyed(points, prints, rows)
+    return keyed(points, rows)
 
 
 def apart(a: str, b: str) -> Column:
@@ -329,7 +297,7 @@ def met_before(plan: Plan) -> Column:
     """Whether a probe ``a`` and a point ``b`` that meet under ``a_key`` do so in an
     earlier partition too: two points are returned once, not for each partition."""
     part = F.shiftright("a_key", 32).bitwiseAND(F.lit(15))
-    differ = F.col("a_f0").bitwiseXOR(F.col("b_f0"))
+    differ = F.col("a").bitwiseXOR(F.col("b"))
     found = []
     for number, group in enumerate(plan.groups[:-1]):
         mask = sum(1 << bit for bit in group)
@@ -339,72 +307,42 @@ def met_before(plan: Plan) -> Column:
     return any_of(found)
 
 
-@dataclass
-class Test:
-    """When two fingerprints are alike.
+def component_labels(points: DataFrame, distance: int) -> DataFrame:
+    """``node, label`` of all different fingerprints (``f0``) that are linked to others.
 
-    Their first prints differ in at most ``distance`` bits, and all of ``prints``
-    together, which go along with every key, in at most ``wide`` if that is given.
-    ``rest`` keeps the links (``a, b``) that pass what else is asked.
+    Any two that differ in at most ``distance`` bits are found by the probes of either.
+    A group of many like points would give all its pairs; so points are linked to the
+    first one under each of their keys before, and the search returns only what links
+    different groups.
     """
-
-    distance: int
-    prints: list[str]
-    wide: int | None = None
-    rest: Callable[[DataFrame], DataFrame] = lambda links: links
-
-    def alike(self, a: str, b: str) -> Column:
-        """Of rows whose prints are named ``a_f0, ...`` and ``b_f0, ...``."""
-        found = apart(f"{a}_f0", f"{b}_f0") <= self.distance
-        if self.wide is not None:
-            every = [apart(f"{a}_{name}", f"{b}_{name}") for name in self.prints]
-            found = found & (reduce(lambda x, y: x + y, every) <= self.wide)
-        return found
-
-
-def component_labels(points: DataFrame, test: Test, bands: bool) -> DataFrame:
-    """``node, label`` of all points that are linked to others.
-
-    Points are ``node, band`` and the prints. Any two that are alike (and in equal or,
-    with ``bands``, neighbouring bands) are found by the probes of either. A group of
-    many like points would give all its pairs; so points are linked to the first one
-    under each of their keys before, and the search returns only what links different
-    groups.
-    """
-    prints = test.prints
-    sizes = {row["band"]: row["count"] for row in points.groupBy("band").count().collect()}
-    reached = (-1, 0, 1) if bands else (0,)
-    met = sum(n * sizes.get(band + i, 0) for band, n in sizes.items() for i in reached)
-    plan = planned(points, test.distance, met / max(sum(sizes.values()), 1))
+    plan = planned(points, distance, points.count())
 
     def side(rows: DataFrame, letter: str) -> DataFrame:
-        names = [F.col(n).alias(f"{letter}_{n}") for n in ("label", *prints, "used")]
-        return rows.select("key", F.col("node").alias(letter), *names)
+        return rows.select("key", F.col("f0").alias(letter), *(F.col(n).alias(f"{letter}_{n}") for n in ("label", "used")))
 
-    alone = points.withColumn("label", F.col("node"))
-    index = index_rows(alone, prints, plan, (0,))
-    first = index.groupBy("key").agg(F.min(F.struct("node", "label", *prints, "used")).alias("first"))
-    stars = side(index, "b").join(side(first.select("key", "first.*"), "a"), "key")
-    stars = stars.where((F.col("a") != F.col("b")) & test.alike("a", "b"))
-    stars = kept(test.rest(stars.select("a", "b").distinct()), "stars")
+    alone = points.select("f0", F.col("f0").alias("label"))
+    index = index_rows(alone, plan)
+    first = index.groupBy("key").agg(F.min("f0").alias("a"))
+    stars = side(index, "b").join(first, "key")
+    stars = stars.where((F.col("a") != F.col("b")) & (apart("a", "b") <= distance))
+    stars = kept(stars.select("a", "b").distinct(), "stars")
 
     joined = components(stars)
-    grouped_points = kept(
-        points.join(joined, "node", "left").withColumn("label", F.coalesce("label", "node")), "grouped"
-    )
+    grouped_points = points.select("f0").join(joined.withColumnRenamed("node", "f0"), "f0", "left")
+    grouped_points = kept(grouped_points.withColumn("label", F.coalesce("label", "f0")), "grouped")
     discarded(joined)
-    probes = side(probe_rows(grouped_points, prints, plan), "a").withColumnRenamed("key", "a_key")
-    found = side(index_rows(grouped_points, prints, plan, reached), "b")
+    probes = side(probe_rows(grouped_points, plan), "a").withColumnRenamed("key", "a_key")
+    found = side(index_rows(grouped_points, plan), "b")
     # A plain join, so that adaptive execution can split a key that many share.
     pairs = probes.join(
         found,
         (F.col("a_key") == F.col("key"))
         & (F.col("a") < F.col("b"))
         & (F.col("a_label") != F.col("b_label"))
-        & test.alike("a", "b")
+        & (apart("a", "b") <= distance)
         & ~met_before(plan),
     )
-    more = kept(test.rest(pairs.select("a", "b").distinct()), "found")
+    more = kept(pairs.select("a", "b").distinct(), "found")
     labels = components(stars.union(more))
     for done in (grouped_points, stars, more):
         discarded(done)
@@ -414,49 +352,25 @@ def component_labels(points: DataFrame, test: Test, bands: bool) -> DataFrame:
 # ------------------------------------------------------------------ near copies
 
 
-def grouped_rows(
-    docs: DataFrame,
-    distance: int,
-    words: int,
-    prints: int = 1,
-    carried: int = 1,
-    carried_distance: int | None = None,
-    wide_distance: int | None = None,
-    size_ratio: float | None = None,
-    repeats: bool = True,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """``doc_id, text_hash, f0, ..., component_id`` of every row; see :func:`near_duplicates`."""
-    names = [f"f{i}" for i in range(prints)]
-    rows = kept(fingerprints(docs, words, prints, repeats, doc_id, text), "fingerprints")
-    band = F.lit(0)
-    if size_ratio is not None:
-        band = F.floor(F.log(F.greatest("size", F.lit(1))) / -F.log(F.lit(size_ratio)))
-    rows = rows.withColumn("band", band.cast("long"))
-    one = [*names, "band"]
-    node = F.col("f0") if one == ["f0", "band"] and size_ratio is None else F.xxhash64(*one)
-    points = kept(
-        rows.groupBy(*one).agg(F.min("doc_id").alias("first_id")).withColumn("node", node), "points"
-    )
+def grouped_rows(docs: DataFrame, distance: int, words: int, doc_id: str, text: str) -> DataFrame:
+    """``doc_id, text_hash, f0, component_id, stays`` of every row; see :func:`near_duplicates`.
 
-    def checked(links: DataFrame) -> DataFrame:
-        if wide_distance is None:
-            return links
-        ends = [points.select(F.col("node").alias(e), *(F.col(n).alias(f"{e}_{n}") for n in names)) for e in "ab"]
-        differ = reduce(lambda x, y: x + y, [apart(f"a_{n}", f"b_{n}") for n in names])
-        return links.join(ends[0], "a").join(ends[1], "b").where(differ <= wide_distance).select("a", "b")
-
-    test = Test(distance, names[:carried], carried_distance, checked)
-    labels = component_labels(points.select("node", "band", *names[:carried]), test, size_ratio is not None)
-    labelled = points.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    smallest = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    found = kept(labelled.join(smallest, "label").select(*one, "component_id"), "members")
+    ``stays`` holds the row of its component that comes first: that of the smallest id,
+    of rows without an id that of the smallest hash of the text.
+    """
+    rows = kept(fingerprints(docs, words, doc_id, text), "fingerprints")
+    own = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    points = kept(rows.groupBy("f0").agg(F.min(own).alias("first")), "points")
+    labels = component_labels(points, distance).withColumnRenamed("node", "f0")
+    labelled = points.join(labels, "f0", "left").withColumn("label", F.coalesce("label", "f0"))
+    smallest = labelled.groupBy("label").agg(F.min("first").alias("stays"))
+    found = labelled.join(smallest, "label")
+    found = kept(found.select("f0", F.col("stays.doc_id").alias("component_id"), "stays"), "members")
     discarded(points)
     discarded(labels)
     # Many documents may share a fingerprint: a plain join over stored tables, which
     # adaptive execution splits.
-    return rows.join(found, one).select("doc_id", "text_hash", *names, "component_id")
+    return rows.join(found, "f0").select("doc_id", "text_hash", "f0", "component_id", (own == F.col("stays")).alias("stays"))
 
 
 def near_duplicates(
@@ -479,38 +393,26 @@ def near_duplicates(
     bits than the units of some partition, and is met under one of the values probed
     there.
     """
-    rows = grouped_rows(docs, distance, words, doc_id=doc_id, text=text)
+    rows = grouped_rows(docs, distance, words, doc_id, text)
     return rows.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def survivors(
-    docs: DataFrame, similarity: float = 0.8, words: int = 5, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, distance: int = 4, words: int = 4, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` without near copies, all columns; the smallest id of a group stays.
+    """One row of ``docs`` from each component of :func:`near_duplicates`, all columns.
 
-    Texts are linked if the exact Jaccard similarity of their different shingles of
-    ``words`` words is at least ``similarity``; a text of fewer words has one shingle,
-    the whole sequence. Fingerprints cannot find these pairs without losses, so none
-    are used: see :func:`jaccard.labels`. Rows of a group without any id all stay.
+    The document with the smallest id stays; of a component without ids the one whose
+    text has the smallest hash. Null and empty texts are one component (fingerprint 0).
+    Rows that repeat an id and its text are one document and stay or go together. An
+    empty table gives an empty result; columns of any other name are carried along.
     """
-
-    def hashes_of(body: str) -> np.ndarray:
-        return np.unique(shingle_hashes(body, words))
-
-    members = kept(jaccard.members(docs, hashes_of, doc_id, text), "members")
-    labels = jaccard.labels(docs, members, hashes_of, similarity, text)
-    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    labelled = kept(labelled.select("doc_id", "text_hash", "label"), "labelled")
-    smallest = labelled.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    found = labelled.join(smallest, "label")
-    discarded(members)
-    discarded(labels)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = gone.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    found = grouped_rows(docs, distance, words, doc_id, text)
+    left = found.where("stays").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
     rows = docs.select(
         F.col(doc_id).cast("long").alias("_id"),
         F.xxhash64(whole_text(text)).alias("_hash"),
         F.struct("*").alias("_row"),
     ).alias("d")
     same = F.col("d._id").eqNullSafe(F.col("g._id")) & (F.col("d._hash") == F.col("g._hash"))
-    return rows.join(gone.alias("g"), same, "left_anti").select("_row.*")
+    return rows.join(left.alias("g"), same, "left_semi").select("_row.*")
