@@ -12,6 +12,7 @@ from pairsift.llm import (
     fingerprints,
     language,
     licenses,
+    main_text,
     mixing,
     sharding,
     simhash,
@@ -76,6 +77,10 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
 
 
+def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.extract(table(spark, folder, "pages"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -89,6 +94,7 @@ QUERIES = {
         op8_fingerprints,
         op9_substring_dedup,
         op10_license_scan,
+        op11_html_extraction,
     )
 }
 
