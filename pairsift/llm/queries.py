@@ -13,6 +13,7 @@ from pairsift.llm import (
     language,
     licenses,
     main_text,
+    merkle,
     mixing,
     sharding,
     simhash,
@@ -81,6 +82,10 @@ def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.manifest(documents(spark, folder))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES = {
         op9_substring_dedup,
         op10_license_scan,
         op11_html_extraction,
+        op13_merkle_manifest,
     )
 }
 

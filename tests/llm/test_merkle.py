@@ -1,0 +1,105 @@
+"""The Merkle manifest against plain trees."""
+
+import hashlib
+import random
+import zlib
+
+import pytest
+
+from pairsift.llm import merkle
+from tests.llm.helpers import COLUMNS, got, odd_rows, with_clashes
+
+
+def h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf(row, text):
+    values = [*(None if v is None else str(v) for v in (row[0], row[3], row[2], row[4])), text]
+    return h(*("-" if v is None else f"{len(v.encode())}:{v}" for v in values))
+
+
+def tree(nodes):
+    """The root, and each leaf's siblings: levels of (left, right)."""
+    ways, own = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for i, at in enumerate(own):
+            run = nodes[at // 16 * 16 : at // 16 * 16 + 16]
+            ways[i].append((run[: at % 16], run[at % 16 + 1 :]))
+        nodes = [h(*nodes[i : i + 16]) for i in range(0, len(nodes), 16)]
+        own = [at // 16 for at in own]
+    return nodes[0], ways
+
+
+def by_definition(rows):
+    sources = {}
+    for row in rows:
+        sources.setdefault(row[3], []).append((row, leaf(row, row[1])))
+    names = sorted(sources, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for name in names:
+        sources[name].sort(key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[1]))
+        trees[name] = tree([own for _, own in sources[name]])
+    root, ways_up = tree([trees[name][0] for name in names])
+    result = []
+    for name, way_up in zip(names, ways_up):
+        for (row, own), way in zip(sources[name], trees[name][1]):
+            way, text = way + way_up, row[1]
+            if row[0] is not None and text is not None and zlib.crc32(str(row[0]).encode()) % 5 == 0:
+                text = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+            folded = leaf(row, text)
+            for left, right in way:
+                folded = h(*left, folded, *right)
+            proof = h(*(s for left, right in way for s in (*left, *right)))
+            result.append((row[0], own, trees[name][0], root, proof, folded, folded == root))
+    return sorted(result, key=repr)
+
+
+def rows_of(sizes):
+    """Rows of sources with given sizes, in a mixed order."""
+    rnd, rows = random.Random(1), []
+    for source, size in sizes.items():
+        for _ in range(size):
+            text = rnd.choice([None, "", "Some Text", "lower", f"Number {rnd.random()}", "É Ü 漢"])
+            rows.append((len(rows), text, rnd.choice(["en", None]), source, rnd.choice([None, 5])))
+    rnd.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize(
+    "sizes",
+    [{"a": 1}, {"a": 1, None: 1, "b": 1}, {"a": 16, "b": 17, None: 15, "": 33, "é": 1, "z": 257},
+     {"hot": 4096 + 4096 + 1, "even": 4096, "c": 300}, {f"s{i}": 1 + i % 3 for i in range(300)}],
+)
+def test_against_plain_trees(spark, sizes):
+    rows = rows_of(sizes)
+    docs = with_clashes(spark.createDataFrame(rows, COLUMNS))
+    assert got(merkle.manifest(docs)) == by_definition(rows)
+
+
+def test_several_rounds_of_blocks(spark):
+    """Small blocks stand for trees that are larger than one block of blocks."""
+    rows = rows_of({"a": 16**3 + 5, "b": 40, None: 1} | {f"s{i:03}": 1 for i in range(300)})
+    assert got(merkle.manifest(spark.createDataFrame(rows, COLUMNS), levels=1)) == by_definition(rows)
+
+
+def test_odd_rows(spark):
+    rnd = random.Random(2)
+    rows = [(i, t, rnd.choice(["en", None]), rnd.choice(["x", "y", None]), None) for i, t in odd_rows()]
+    result = merkle.manifest(with_clashes(spark.createDataFrame(rows, COLUMNS)))
+    assert got(result) == by_definition(rows)
+    assert merkle.manifest(spark.createDataFrame(rows, COLUMNS).where("doc_id > 10000")).collect() == []
+
+
+def test_appending_keeps_witnesses():
+    """After every append, a later sibling is in all open witnesses of its run."""
+    appender, nodes = merkle.Appender(3), []
+    for i in range(600):
+        nodes.append(appender.append(h(str(i))))
+        for level, run in enumerate(appender.runs):
+            for k, node in enumerate(run):
+                assert node.left == [n.digest for n in run[:k]] and node.right == [n.digest for n in run[k + 1 :]]
+        assert len(appender.runs[0]) < 16
+    root, ways = tree([n.digest for n in nodes])
+    assert appender.finish().digest == root
+    assert [list(n.steps()) for n in nodes] == ways
