@@ -79,7 +79,7 @@ def manifest(width: int = 16) -> str:
 
     def ways(name: str, source: str, trees: str) -> str:
         """For every node of the lowest level the siblings left and right, level by level."""
-        at = f"(pos // {width}**level)::BIGINT"
+        at = f"(pos // ({width}**level)::BIGINT)"
         run = f"({at} // {width}) * {width}"
         return (
             f"{name} AS (SELECT tree, pos, list({{'a': array_to_string(nodes[{run} + 1 : {at}], ''),"
@@ -89,14 +89,14 @@ def manifest(width: int = 16) -> str:
 
     return f"""
 WITH RECURSIVE {CRC_TABLE.strip()},
-crc AS (SELECT doc_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
+crc AS (SELECT doc_id AS id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT],
           list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT)),
           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS crc
         FROM (SELECT DISTINCT doc_id FROM documents), crc_table),
-l AS (SELECT coalesce('=' || source, '') AS tree, documents.doc_id, sha256({fields} || {text.format(t='text')}) AS digest,
+l AS (SELECT coalesce('=' || source, '') AS tree, doc_id, sha256({fields} || {text.format(t='text')}) AS digest,
         CASE WHEN crc % 5 = 0 THEN sha256({fields} || {text.format(t=lowered)})
              ELSE sha256({fields} || {text.format(t='text')}) END AS found
-      FROM documents JOIN crc ON documents.doc_id IS NOT DISTINCT FROM crc.doc_id),
+      FROM documents JOIN crc ON doc_id IS NOT DISTINCT FROM id),
 leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos FROM l),
 {levels('trees', 'leaves')},
 subroots AS (SELECT tree AS name, '' AS tree, nodes[1] AS digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos
