@@ -147,6 +147,26 @@ def from_text_files(t: Tables) -> DataFrame:
     )
 
 
+def from_buckets(t: Tables) -> DataFrame:
+    """The same from stages that an earlier run has left in buckets, none of which is made again."""
+    folder = new_folder(t.spark, "buckets")
+    t.unigram_lines().write.text(f"{folder}/unigrams")
+    t.bigram_lines().write.text(f"{folder}/bigrams")
+
+    def run(resume: bool) -> DataFrame:
+        return plan.collocations(
+            ngrams.read_lines(t.spark, f"{folder}/unigrams"),
+            ngrams.read_lines(t.spark, f"{folder}/bigrams"),
+            stage_dir=f"{folder}/stages",
+            buckets=int(t.spark.conf.get("spark.sql.shuffle.partitions")),
+            resume=resume,
+            decimals=DECIMALS,
+        )
+
+    run(False)
+    return run(True)
+
+
 def from_sequence_files(t: Tables) -> DataFrame:
     """The same from SequenceFiles."""
     folder = new_folder(t.spark, "sequence")
@@ -295,6 +315,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "collocations_pages": pages_top,
     "collocations_from_text": from_text_files,
     "collocations_from_sequence": from_sequence_files,
+    "collocations_from_buckets": from_buckets,
     "result_files": result_files,
     "bigram_counts_hebrew": lambda t: plan.counted_pairs(hebrew_lines(t)[1]),
     "collocations_hebrew": lambda t: plan.collocations(*hebrew_lines(t), decimals=DECIMALS),

@@ -295,6 +295,7 @@ def all_sql() -> dict[str, str]:
         "topk_per_decade_5000": _documents("SELECT * FROM ranked WHERE rn <= 5000"),
         "collocations_top100": _documents(f"SELECT * {top}"),
         "collocations_from_text": _documents(f"SELECT * {top}"),
+        "collocations_from_buckets": _documents(f"SELECT * {top}"),
         "collocations_from_sequence": _documents(f"SELECT * {top}"),
         "result_files": _documents(f"SELECT decade, score, w1, w2 {top}"),
         "bigram_counts_hebrew": _hebrew("SELECT decade, w1, w2, c12 FROM pairs"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def look_up(pairs: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+def look_up(pairs: DataFrame, table: DataFrame, keys: list[str], in_place: bool = False) -> DataFrame:
     """``pairs`` left-joined to ``table``, which has each combination of keys once.
 
     Nothing is multiplied, but one word or decade may own a large share of the
@@ -19,17 +19,19 @@ def look_up(pairs: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
     the smaller side, and lookups in the same table by different columns share it.
     """
     sides = [[F.col(f"{side}.{key}") for key in keys] for side in ("pair", "row")]
-    same = F.xxhash64(*sides[0]) == F.xxhash64(*sides[1])
+    same = F.lit(True) if in_place else F.xxhash64(*sides[0]) == F.xxhash64(*sides[1])
     for left, right in zip(*sides):
         same = same & (left == right)
     found = [f"row.{name}" for name in table.columns if name not in keys]
     return pairs.alias("pair").join(table.alias("row"), same, "left").select("pair.*", *found)
 
 
-def with_word_count(pairs: DataFrame, unigrams: DataFrame, word: str, count: str) -> DataFrame:
+def with_word_count(
+    pairs: DataFrame, unigrams: DataFrame, word: str, count: str, in_place: bool = False
+) -> DataFrame:
     """``pairs`` with the count of the word in column ``word``; 0 if unknown."""
     counted = unigrams.select("decade", F.col("w").alias(word), F.col("c").alias(count))
-    found = look_up(pairs, counted, ["decade", word])
+    found = look_up(pairs, counted, ["decade", word], in_place)
     return found.select(*pairs.columns, F.coalesce(count, F.lit(0)).alias(count))
 
 

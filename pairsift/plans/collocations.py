@@ -7,6 +7,10 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairsift import manifests
+from pairsift.functions import likelihood, text
+from pairsift.manifests import Recipe
+from pairsift.operators import cleaning, counts, joins, scoring
 from pairsift.operators.cleaning import (
     clean_bigrams,
     clean_unigrams,
@@ -17,38 +21,58 @@ from pairsift.operators.counts import bigram_counts, decade_totals, unigram_coun
 from pairsift.operators.joins import with_totals, with_word_count
 from pairsift.operators.ranking import topk_per_decade
 from pairsift.operators.scoring import with_score
+from pairsift.sources import ngrams
 from pairsift.sources.ngrams import parse_ngrams, split_bigrams
 from pairsift.sources.stopwords import stop_words
-from pairsift.stages import complete, staged, stored
+from pairsift.stages import Buckets, complete, staged, stored
 
-Keep = Callable[[str, DataFrame], DataFrame]
+Keep = Callable[..., DataFrame]
+CODE = (text, likelihood, ngrams, cleaning, counts, joins, scoring)  # what stages are made by
 
 
-def keep_in(folder: str | None, resume: bool = False) -> Keep:
+def recipe(**parts: object) -> Recipe | None:
+    """What a stage is made with; None if it cannot be told of some part."""
+    if any(part is None for part in parts.values()):
+        return None
+    return {"code": manifests.code_of(CODE), **parts}
+
+
+def keep_in(folder: str | None, resume: bool = False, buckets: int | None = None) -> Keep:
     """Stores a stage in ``folder``; without a folder, leaves it lazy.
 
-    With ``resume`` a stage that is complete there is read and not computed again.
+    With ``resume`` a stage that is complete there and was made with the same recipe, by
+    the manifest beside it, is read and not computed again. A stage without a recipe is
+    always computed. With ``buckets`` a stage that names columns is laid out in so many
+    buckets of them, so that the join on these columns finds its rows in place.
     """
 
-    def keep(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder}/{name}"
-        if resume and complete(df.sparkSession, path):
-            return stored(df.sparkSession, path, df)
-        return staged(df, path)
+    def keep(name: str, df: DataFrame, made_of: Recipe | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
+        spark, path = df.sparkSession, f"{folder}/{name}"
+        layout = Buckets(columns, buckets) if buckets and columns else None
+        if made_of is not None:
+            made_of = made_of | {"buckets": [*columns, buckets] if layout else []}
+        if resume and made_of is not None and complete(spark, path):
+            if manifests.read_manifest(spark, path) == made_of:
+                return stored(spark, path, df, layout)
+        rows = staged(df, path, layout)
+        if made_of is not None:
+            manifests.write_manifest(spark, path, made_of)
+        return rows
 
-    return keep if folder is not None else lambda name, df: df
+    return keep if folder is not None else lambda name, df, made_of=None, columns=(): df
 
 
-def counted_words(unigram_lines: DataFrame, keep: Keep = keep_in(None)) -> DataFrame:
+def counted_words(unigram_lines: DataFrame, keep: Keep = keep_in(None), made_of: Recipe | None = None) -> DataFrame:
     """``decade, w, c`` from unigram lines."""
     words = clean_unigrams(parse_ngrams(unigram_lines))
-    return keep("unigram_counts", unigram_counts(words))
+    return keep("unigram_counts", unigram_counts(words), made_of, ("decade", "w"))
 
 
 def counted_pairs(
     bigram_lines: DataFrame,
     stopwords: Iterable[str] | DataFrame | None = None,
     keep: Keep = keep_in(None),
+    made_of: Recipe | None = None,
 ) -> DataFrame:
     """``decade, w1, w2, c12`` from bigram lines.
 
@@ -61,7 +85,7 @@ def counted_pairs(
     else:
         words = stop_words() if stopwords is None else stopwords
         counted = bigram_counts(without_stopwords(pairs, words))
-    return keep("bigram_counts", counted)
+    return keep("bigram_counts", counted, made_of, ("decade", "w1"))
 
 
 def joined_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
@@ -85,6 +109,8 @@ def collocations(
     stage_dir: str | None = None,
     resume: bool = False,
     decimals: int | None = None,
+    buckets: int | None = None,
+    paths: tuple[Iterable[str], Iterable[str]] | None = None,
 ) -> DataFrame:
     """``decade, rn, score, w1, w2``: the ``k`` strongest pairs of each decade.
 
@@ -92,16 +118,38 @@ def collocations(
     With ``stage_dir`` the counted words and pairs, the pairs with the first word's
     count and the scored pairs are stored there as Parquet, so that later steps and
     retries start from them and not from the lines; without it the result is lazy.
-    ``resume`` takes over the stages that an earlier run over the same lines has
-    completed there. ``decimals`` rounds scores before they are ranked, so that two
-    engines that differ in the last digits agree on the ranks.
+    ``decimals`` rounds scores before they are ranked, so that two engines that differ in
+    the last digits agree on the ranks.
+
+    ``resume`` takes over the stages that an earlier run has completed there, if its
+    manifests say that they were made with the same input files (paths, sizes, times of
+    change) and steps, stop words, ``strict`` and code, and computes again the others and
+    what comes after them. Lines that are not read from files alone have no such identity
+    and are computed again, unless ``paths`` names the files of unigrams and bigrams.
+
+    ``buckets`` lays the stages out in so many buckets of the columns that the next join
+    uses. The joins then shuffle nothing, in this run or a resumed one, and pairs travel
+    once per stage, when it is written. A word's pairs are in one bucket, though, which
+    is not split if the word is very frequent; without buckets it is.
     """
-    keep = keep_in(stage_dir, resume)
-    unigrams = counted_words(unigram_lines, keep)
-    pairs = counted_pairs(bigram_lines, stopwords, keep)
-    with_c1 = keep("with_c1", with_word_count(pairs, unigrams, "w1", "c1"))
-    with_c2 = with_word_count(with_c1, unigrams, "w2", "c2")
-    scored = keep("scored", with_score(with_totals(with_c2, decade_totals(unigrams), strict)))
+    keep = keep_in(stage_dir, resume, buckets)
+    in_place = buckets is not None and stage_dir is not None
+    words_of = pairs_of = joined_of = scored_of = None
+    if stage_dir is not None:
+        words_paths, pairs_paths = paths or (None, None)
+        listed = stop_words() if stopwords is None else stopwords
+        words_of = recipe(lines=manifests.input_of(unigram_lines, words_paths))
+        pairs_of = recipe(lines=manifests.input_of(bigram_lines, pairs_paths), stopwords=manifests.words_digest(listed))
+        if words_of and pairs_of:
+            joined_of = recipe(words=manifests.digest(words_of), pairs=manifests.digest(pairs_of))
+            scored_of = recipe(joined=manifests.digest(joined_of), strict=strict)
+    unigrams = counted_words(unigram_lines, keep, words_of)
+    pairs = counted_pairs(bigram_lines, stopwords, keep, pairs_of)
+    with_c1 = with_word_count(pairs, unigrams, "w1", "c1", in_place)
+    with_c1 = keep("with_c1", with_c1, joined_of, ("decade", "w2"))
+    with_c2 = with_word_count(with_c1, unigrams, "w2", "c2", in_place)
+    scored = with_score(with_totals(with_c2, decade_totals(unigrams), strict))
+    scored = keep("scored", scored, scored_of)
     if decimals is not None:
         scored = scored.withColumn("score", F.round("score", decimals))
     return topk_per_decade(scored, k)

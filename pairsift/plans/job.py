@@ -9,6 +9,7 @@ from pyspark.sql import SparkSession
 from pairsift.plans.collocations import collocations
 from pairsift.sources.ngrams import read_lines, read_sequence
 from pairsift.sources.results import write_results
+from pairsift.sources.stopwords import read_words
 from pairsift.stages import complete, removed
 
 # Lets adaptive execution join by hashing where every partition of a looked-up
@@ -50,6 +51,8 @@ def main(args: list[str] | None = None) -> None:
         "--stage-dir", help="folder for the stage tables, which stay; default: beside the output, until it is written"
     )
     parser.add_argument("--resume", action="store_true", help="start from the complete stages of the same inputs")
+    parser.add_argument("--stopwords", help="file of stop words, one a line, in place of the built-in ones")
+    parser.add_argument("--buckets", type=int, help="lay stages out in so many buckets of the joins' columns")
     options = parser.parse_args(args)
 
     spark = session()
@@ -62,8 +65,11 @@ def main(args: list[str] | None = None) -> None:
         read(spark, options.unigrams),
         read(spark, options.bigrams),
         options.k,
+        stopwords=read_words(spark, options.stopwords) if options.stopwords else None,
         stage_dir=stage_dir,
         resume=options.resume,
+        buckets=options.buckets,
+        paths=([options.unigrams], [options.bigrams]),
     )
     write_results(ranked, options.output, options.files)
     if not options.stage_dir:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,19 +40,60 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, folder: str) -> DataFrame:
+@dataclass(frozen=True)
+class Buckets:
+    """How a stage table is laid out: rows dealt out to files by a hash of columns, and sorted by them.
+
+    A join on exactly these columns finds both tables dealt out alike, if their numbers
+    of buckets are equal, and shuffles neither. A bucket is read by one task, which
+    cannot be split: choose so many that the largest one fits.
+    """
+
+    columns: tuple[str, ...]
+    number: int
+
+
+def staged(df: DataFrame, folder: str, buckets: Buckets | None = None) -> DataFrame:
     """``df`` written as a Parquet table and read back.
 
     What follows starts from the table: it has one set of rows for good, and a
     lost executor costs a re-read, not a re-run.
     """
-    df.write.mode("overwrite").parquet(folder)
-    return stored(df.sparkSession, folder, df)
+    if buckets is None:
+        df.write.mode("overwrite").parquet(folder)
+    else:
+        # Dealt out by the same hash before, so every bucket is one file.
+        rows = df.repartition(buckets.number, *buckets.columns).sortWithinPartitions(*buckets.columns)
+        removed(df.sparkSession, folder)
+        written = rows.write.mode("overwrite").bucketBy(buckets.number, *buckets.columns)
+        name = table_name()
+        written.sortBy(*buckets.columns).option("path", folder).format("parquet").saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
+    return stored(df.sparkSession, folder, df, buckets)
+
+
+def table_name() -> str:
+    return f"stage_{uuid.uuid4().hex}"
 
 
-def stored(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
-    """The stage table in ``folder``, which has the columns of ``like``."""
-    return spark.read.schema(like.schema).parquet(folder)
+def stored(spark: SparkSession, folder: str, like: DataFrame, buckets: Buckets | None = None) -> DataFrame:
+    """The stage table in ``folder``, which has the columns of ``like`` and was laid out in ``buckets``.
+
+    Only a table of the catalog can tell Spark its buckets. It is entered for the
+    moment in which the DataFrame is made, which then knows them itself.
+    """
+    if buckets is None:
+        return spark.read.schema(like.schema).parquet(folder)
+    name, columns = table_name(), ", ".join(buckets.columns)
+    fields = ", ".join(f"{field.name} {field.dataType.simpleString()}" for field in like.schema)
+    spark.sql(
+        f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY ({columns}) SORTED BY ({columns})"
+        f" INTO {buckets.number} BUCKETS LOCATION '{folder}'"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")  # its files stay
 
 
 def complete(spark: SparkSession, folder: str) -> bool:
