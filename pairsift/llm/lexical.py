@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
@@ -111,18 +111,37 @@ class Block:
         return top, score[top]
 
 
-def ranked(postings: pa.Table, items: pa.Table, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each item of ``items``: its number, rows of documents and their scores in one block."""
+def impacts(tf: np.ndarray, n: np.ndarray, w: np.ndarray, n_docs: int, length: int) -> np.ndarray:
+    """What occurrences add to scores; whole numbers, rounded down."""
+    m = 50 + (50 * n * n_docs) // max(length, 1)
+    return w * ((1_000_000_000 * tf) // (1000 * tf + 20 * m))
+
+
+def ranked(postings: pa.Table, items: pa.Table, k: int, n_docs: int, length: int) -> Iterator[tuple]:
+    """For each item of ``items``: its number, rows of ``postings`` with its documents, and their scores."""
+    weights = {}
+    for terms in items["terms"].to_pylist():
+        weights.update((term["term"], term["w"]) for term in terms)
+    numbers = {term: i for i, term in enumerate(weights)}
+    encoded = postings["term"].combine_chunks().dictionary_encode()
+    number_of = np.array([numbers.get(term, -1) for term in encoded.dictionary.to_pylist()], np.int64)
+    terms = number_of[encoded.indices.to_numpy()]
+    wanted = np.flatnonzero(terms >= 0)
+    if not len(wanted):
+        return
+    terms, postings = terms[wanted], postings.take(pa.array(wanted))
     rows, first, local = np.unique(postings["row"].to_numpy(), return_index=True, return_inverse=True)
     ids = postings["doc_id"].take(pa.array(first)).to_pylist()
     # Numbers in the order of ties: by id, rows without one last.
     order = sorted(range(len(rows)), key=lambda i: (ids[i] is None, ids[i] or 0, rows[i]))
     number = np.empty(len(rows), np.int64)
     number[order] = np.arange(len(rows))
-    block = Block(postings["term_id"].to_numpy(), number[local], postings["impact"].to_numpy(), len(rows))
-    first = first[order]
-    for item, terms in zip(items["for_item"].to_pylist(), items["for_term_ids"].to_pylist()):
-        top, scores = block.best(terms, k)
+    w = np.array(list(weights.values()), np.int64)[terms]
+    added = impacts(postings["tf"].to_numpy(), postings["n"].to_numpy(), w, n_docs, length)
+    block = Block(terms, number[local], added, len(rows))
+    first = wanted[first[order]]
+    for item, own in zip(items["for_item"].to_pylist(), items["terms"].to_pylist()):
+        top, scores = block.best([numbers[term["term"]] for term in own], k)
         yield item, first[top], scores
 
 
@@ -196,6 +215,11 @@ def counted(docs: DataFrame, wanted: bytes, doc_id: str, text: str) -> DataFrame
     return rows.mapInArrow(compute, "row long, doc_id long, term binary, tf long, n long")
 
 
+def every(name: str, number: int) -> Column:
+    """A row for each of so many numbers."""
+    return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(number - 1).cast("long"))).alias(name)
+
+
 def search(
     docs: DataFrame,
     items: DataFrame,
@@ -227,7 +251,8 @@ def search(
     cover its part of the ``k`` best of all, and what blocks return is ranked once more.
     """
     wanted = kept(item_terms(items, item_id, item_text), "items")
-    wanted = wanted.withColumn("chunk", F.expr(f"abs(xxhash64(item)) % greatest(1, {wanted.count()} div {chunk_items})"))
+    chunks = max(1, wanted.count() // chunk_items)
+    wanted = wanted.withColumn("chunk", F.expr(f"pmod(xxhash64(item), {chunks}L)"))
     pairs = wanted.select("chunk", "item", F.explode("terms").alias("term"))
     postings = kept(counted(docs, filter_of(pairs), doc_id, text), "postings")
     n, length = postings.where("term IS NULL").agg(F.sum("tf"), F.sum("n")).first()  # one row
@@ -236,22 +261,20 @@ def search(
 
     frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
     weight = F.floor(1000 * F.log(F.lit(2.0 * n + 2) / (2 * F.col("df") + 1))).alias("w")
-    named = pairs.select("term").distinct().join(frequency, "term")
-    named = kept(named.select(F.monotonically_increasing_id().alias("term_id"), "term", weight), "weights")
-    needed = pairs.select("chunk", "term").distinct().join(named, "term")
+    weighed = pairs.join(frequency.select("term", weight).where("w > 0"), "term")
+    weighed = weighed.groupBy("chunk", "item").agg(F.collect_list(F.struct("term", "w")).alias("terms"))
 
-    m = f"(50 + (50 * n * {n}L) div {max(length, 1)}L)"
-    impact = F.expr(f"w * ((1000000000L * tf) div (1000 * tf + 20 * {m}))").alias("impact")
+    # Postings go to their block as they are, so that no word is a key of a shuffle.
     blocks = max(1, -(-n // block_docs))
-    block = F.expr(f"pmod(xxhash64(row), {blocks}L)").alias("block")
-    # A plain join: adaptive execution broadcasts the terms if they are small, and else
-    # splits the partitions of common ones.
-    left = postings.join(needed, "term").where("w > 0").select("chunk", block, "row", "doc_id", "term_id", impact)
-    ids = pairs.join(named.select("term", "term_id"), "term").groupBy("chunk", "item").agg(F.collect_list("term_id").alias("term_ids"))
-    right = ids.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    left = postings.select(
+        F.expr(f"pmod(xxhash64(row), {blocks}L)").alias("block"), every("chunk", chunks), "row", "doc_id", "term", "tf", "n"
+    )
+    right = weighed.select(
+        every("for_block", blocks), F.col("chunk").alias("for_chunk"), F.col("item").alias("for_item"), "terms"
+    )
 
     def run(postings: pa.Table, items: pa.Table) -> pa.Table:
-        found = list(ranked(postings, items, k)) if len(postings) else []
+        found = list(ranked(postings, items, k, n, length)) if len(postings) and len(items) else []
         rows = np.concatenate([rows for _, rows, _ in found]) if found else np.zeros(0, np.int64)
         return pa.table({
             "item": pa.array(np.repeat([item for item, *_ in found], [len(rows) for _, rows, _ in found]), pa.int64()),
@@ -259,13 +282,12 @@ def search(
             "score": pa.array(np.concatenate([s for *_, s in found]) if found else [], pa.int64()),
         })
 
-    right = right.select(*(F.col(name).alias(f"for_{name}") for name in right.columns))  # own names for the cogroup
     both = left.groupBy("block", "chunk").cogroup(right.groupBy("for_block", "for_chunk"))
     best = both.applyInArrow(run, "item long, doc_id long, score long")
     in_order = Window.partitionBy("item").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     best = best.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= k)
     result = best.join(wanted.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
     result = kept(result, "ranked")
-    for done in (wanted, postings, named):
+    for done in (wanted, postings):
         discarded(done)
     return result
