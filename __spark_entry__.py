@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import oracle_queries  # noqa: E402
 from pairsift.functions.text import clean_token, decade_of  # noqa: E402
 from pairsift.operators import cleaning, counts, joins, ranking, scoring, stats  # noqa: E402
+from pairsift.operators.metrics import Metrics  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
 from pairsift.sources import corpus, ngrams, results, stopwords  # noqa: E402
 from pairsift.stages import new_folder  # noqa: E402
@@ -275,6 +276,17 @@ def stage_funnel(t: Tables) -> DataFrame:
     )
 
 
+def observed_funnel(t: Tables) -> DataFrame:
+    """The same numbers, counted by the jobs of a run that stores its stages and writes its result."""
+    folder, metrics = new_folder(t.spark, "observed"), Metrics()
+    top = plan.collocations(
+        t.unigram_lines(), t.bigram_lines(), stage_dir=f"{folder}/stages", metrics=metrics
+    )
+    results.write_results(top, f"{folder}/out", 2)
+    metrics.taken()
+    return metrics.funnel(t.spark)
+
+
 def output_lines(t: Tables) -> DataFrame:
     top = documents_top(t)
     # The sink prints doubles; engines print them differently, decimals alike.
@@ -323,6 +335,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "bigram_counts_own_stopwords": own_stopwords,
     "format_output_lines": output_lines,
     "stage_funnel": stage_funnel,
+    "stage_funnel_observed": observed_funnel,
     "rejects_by_reason": rejects,
     "pair_decades": lambda t: stats.pair_decades(documents_top(t)),
 }

@@ -309,6 +309,7 @@ def all_sql() -> dict[str, str]:
             f" AS line {top}"
         ),
         "stage_funnel": _funnel(),
+        "stage_funnel_observed": _funnel(),
         "rejects_by_reason": _rejects(),
         "pair_decades": _documents(
             f"SELECT w1, w2, string_agg(decade::VARCHAR, ',' ORDER BY decade) AS decades {top} GROUP BY ALL"

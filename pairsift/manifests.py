@@ -14,23 +14,25 @@ from pyspark.sql import functions as F
 
 from pairsift.stages import file_system
 
-NAME = "_manifest"  # Spark's readers leave out files with an underscore
+# Names of notes; Spark's readers leave out files with an underscore.
+MADE_OF = "_manifest"  # what the table was made with
+ROWS = "_rows"  # what was counted while it was made
 Recipe = dict[str, object]
 
 
-def write_manifest(spark: SparkSession, folder: str, recipe: Recipe) -> None:
-    """Notes in the folder of a stage table that is complete what it was made with."""
-    files, path = file_system(spark, f"{folder}/{NAME}")
+def write_note(spark: SparkSession, folder: str, note: Recipe, name: str = MADE_OF) -> None:
+    """Writes a note into the folder of a stage table that is complete."""
+    files, path = file_system(spark, f"{folder}/{name}")
     out = files.create(path, True)
     try:
-        out.write(bytearray(json.dumps(recipe, sort_keys=True, indent=1).encode()))
+        out.write(bytearray(json.dumps(note, sort_keys=True, indent=1).encode()))
     finally:
         out.close()
 
 
-def read_manifest(spark: SparkSession, folder: str) -> Recipe | None:
-    """The recipe noted in a folder; None without a note."""
-    files, path = file_system(spark, f"{folder}/{NAME}")
+def read_note(spark: SparkSession, folder: str, name: str = MADE_OF) -> Recipe | None:
+    """A note of a folder; None if there is none."""
+    files, path = file_system(spark, f"{folder}/{name}")
     if not files.exists(path):
         return None
     stream = files.open(path)

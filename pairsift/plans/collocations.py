@@ -19,6 +19,7 @@ from pairsift.operators.cleaning import (
 )
 from pairsift.operators.counts import bigram_counts, decade_totals, unigram_counts
 from pairsift.operators.joins import with_totals, with_word_count
+from pairsift.operators.metrics import Metrics, Uncounted
 from pairsift.operators.ranking import topk_per_decade
 from pairsift.operators.scoring import with_score
 from pairsift.sources import ngrams
@@ -27,6 +28,7 @@ from pairsift.sources.stopwords import stop_words
 from pairsift.stages import Buckets, complete, staged, stored
 
 Keep = Callable[..., DataFrame]
+UNCOUNTED = Uncounted()
 CODE = (text, likelihood, ngrams, cleaning, counts, joins, scoring)  # what stages are made by
 
 
@@ -37,13 +39,17 @@ def recipe(**parts: object) -> Recipe | None:
     return {"code": manifests.code_of(CODE), **parts}
 
 
-def keep_in(folder: str | None, resume: bool = False, buckets: int | None = None) -> Keep:
+def keep_in(
+    folder: str | None, resume: bool = False, buckets: int | None = None, metrics: Metrics = UNCOUNTED
+) -> Keep:
     """Stores a stage in ``folder``; without a folder, leaves it lazy.
 
     With ``resume`` a stage that is complete there and was made with the same recipe, by
     the manifest beside it, is read and not computed again. A stage without a recipe is
     always computed. With ``buckets`` a stage that names columns is laid out in so many
-    buckets of them, so that the join on these columns finds its rows in place.
+    buckets of them, so that the join on these columns finds its rows in place. Counters
+    of ``metrics`` that a stage's job has are noted beside it, and taken from there if the
+    stage is not computed again.
     """
 
     def keep(name: str, df: DataFrame, made_of: Recipe | None = None, columns: tuple[str, ...] = ()) -> DataFrame:
@@ -52,20 +58,29 @@ def keep_in(folder: str | None, resume: bool = False, buckets: int | None = None
         if made_of is not None:
             made_of = made_of | {"buckets": [*columns, buckets] if layout else []}
         if resume and made_of is not None and complete(spark, path):
-            if manifests.read_manifest(spark, path) == made_of:
+            if manifests.read_note(spark, path) == made_of:
+                metrics.given(list(metrics.open), manifests.read_note(spark, path, manifests.ROWS))
                 return stored(spark, path, df, layout)
         rows = staged(df, path, layout)
+        if numbers := metrics.taken():
+            manifests.write_note(spark, path, numbers, manifests.ROWS)
         if made_of is not None:
-            manifests.write_manifest(spark, path, made_of)
+            manifests.write_note(spark, path, made_of)
         return rows
 
     return keep if folder is not None else lambda name, df, made_of=None, columns=(): df
 
 
-def counted_words(unigram_lines: DataFrame, keep: Keep = keep_in(None), made_of: Recipe | None = None) -> DataFrame:
+def counted_words(
+    unigram_lines: DataFrame,
+    keep: Keep = keep_in(None),
+    made_of: Recipe | None = None,
+    metrics: Metrics = UNCOUNTED,
+) -> DataFrame:
     """``decade, w, c`` from unigram lines."""
-    words = clean_unigrams(parse_ngrams(unigram_lines))
-    return keep("unigram_counts", unigram_counts(words), made_of, ("decade", "w"))
+    words = clean_unigrams(parse_ngrams(metrics.counted("unigram_lines", unigram_lines)))
+    counted = unigram_counts(metrics.counted("unigrams_accepted", words))
+    return keep("unigram_counts", metrics.counted("unigram_counts", counted), made_of, ("decade", "w"))
 
 
 def counted_pairs(
@@ -73,19 +88,20 @@ def counted_pairs(
     stopwords: Iterable[str] | DataFrame | None = None,
     keep: Keep = keep_in(None),
     made_of: Recipe | None = None,
+    metrics: Metrics = UNCOUNTED,
 ) -> DataFrame:
     """``decade, w1, w2, c12`` from bigram lines.
 
     A list of stop words is a test on each line; a table of them is held against the
     sums, which are fewer.
     """
-    pairs = clean_bigrams(split_bigrams(parse_ngrams(bigram_lines)))
+    pairs = clean_bigrams(split_bigrams(parse_ngrams(metrics.counted("bigram_lines", bigram_lines))))
     if isinstance(stopwords, DataFrame):
-        counted = without_stopword_rows(bigram_counts(pairs), stopwords)
+        counted = without_stopword_rows(bigram_counts(metrics.counted("bigrams_accepted", pairs)), stopwords)
     else:
         words = stop_words() if stopwords is None else stopwords
-        counted = bigram_counts(without_stopwords(pairs, words))
-    return keep("bigram_counts", counted, made_of, ("decade", "w1"))
+        counted = bigram_counts(metrics.counted("bigrams_accepted", without_stopwords(pairs, words)))
+    return keep("bigram_counts", metrics.counted("bigram_counts", counted), made_of, ("decade", "w1"))
 
 
 def joined_pairs(unigrams: DataFrame, pairs: DataFrame, strict: bool = True) -> DataFrame:
@@ -111,6 +127,7 @@ def collocations(
     decimals: int | None = None,
     buckets: int | None = None,
     paths: tuple[Iterable[str], Iterable[str]] | None = None,
+    metrics: Metrics = UNCOUNTED,
 ) -> DataFrame:
     """``decade, rn, score, w1, w2``: the ``k`` strongest pairs of each decade.
 
@@ -131,8 +148,15 @@ def collocations(
     uses. The joins then shuffle nothing, in this run or a resumed one, and pairs travel
     once per stage, when it is written. A word's pairs are in one bucket, though, which
     is not split if the word is very frequent; without buckets it is.
+
+    ``metrics`` counts the rows of all steps in the jobs that store the stages, the last
+    ones in the job that uses the result: call ``metrics.taken()`` after it. Counting
+    needs ``stage_dir``, as a lazy run has some steps in its plan more than once. With a
+    table of stop words lines with these count as accepted, as they go after the sums.
     """
-    keep = keep_in(stage_dir, resume, buckets)
+    if stage_dir is None and not isinstance(metrics, Uncounted):
+        raise ValueError("metrics are counted while stages are stored: name a stage_dir")
+    keep = keep_in(stage_dir, resume, buckets, metrics)
     in_place = buckets is not None and stage_dir is not None
     words_of = pairs_of = joined_of = scored_of = None
     if stage_dir is not None:
@@ -143,13 +167,14 @@ def collocations(
         if words_of and pairs_of:
             joined_of = recipe(words=manifests.digest(words_of), pairs=manifests.digest(pairs_of))
             scored_of = recipe(joined=manifests.digest(joined_of), strict=strict)
-    unigrams = counted_words(unigram_lines, keep, words_of)
-    pairs = counted_pairs(bigram_lines, stopwords, keep, pairs_of)
+    unigrams = counted_words(unigram_lines, keep, words_of, metrics)
+    pairs = counted_pairs(bigram_lines, stopwords, keep, pairs_of, metrics)
     with_c1 = with_word_count(pairs, unigrams, "w1", "c1", in_place)
-    with_c1 = keep("with_c1", with_c1, joined_of, ("decade", "w2"))
-    with_c2 = with_word_count(with_c1, unigrams, "w2", "c2", in_place)
-    scored = with_score(with_totals(with_c2, decade_totals(unigrams), strict))
+    with_c1 = keep("with_c1", metrics.counted("with_c1", with_c1), joined_of, ("decade", "w2"))
+    with_c2 = metrics.counted("with_c2", with_word_count(with_c1, unigrams, "w2", "c2", in_place))
+    totals = metrics.counted("totals", decade_totals(unigrams))
+    scored = metrics.counted("scored", with_score(with_totals(with_c2, totals, strict)))
     scored = keep("scored", scored, scored_of)
     if decimals is not None:
         scored = scored.withColumn("score", F.round("score", decimals))
-    return topk_per_decade(scored, k)
+    return metrics.counted("top", topk_per_decade(scored, k))

@@ -6,7 +6,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from pairsift.plans.collocations import collocations
+from pairsift.operators.metrics import Metrics
+from pairsift.plans.collocations import UNCOUNTED, collocations
 from pairsift.sources.ngrams import read_lines, read_sequence
 from pairsift.sources.results import write_results
 from pairsift.sources.stopwords import read_words
@@ -52,6 +53,7 @@ def main(args: list[str] | None = None) -> None:
     )
     parser.add_argument("--resume", action="store_true", help="start from the complete stages of the same inputs")
     parser.add_argument("--stopwords", help="file of stop words, one a line, in place of the built-in ones")
+    parser.add_argument("--report", action="store_true", help="print the rows of every step, counted on the way")
     parser.add_argument("--buckets", type=int, help="lay stages out in so many buckets of the joins' columns")
     options = parser.parse_args(args)
 
@@ -61,6 +63,7 @@ def main(args: list[str] | None = None) -> None:
     if not options.resume:
         removed(spark, f"{stage_dir}/inputs")
     same_inputs(spark, stage_dir, [f"unigrams {options.unigrams}", f"bigrams {options.bigrams}", options.format])
+    metrics = Metrics() if options.report else UNCOUNTED
     ranked = collocations(
         read(spark, options.unigrams),
         read(spark, options.bigrams),
@@ -70,8 +73,12 @@ def main(args: list[str] | None = None) -> None:
         resume=options.resume,
         buckets=options.buckets,
         paths=([options.unigrams], [options.bigrams]),
+        metrics=metrics,
     )
     write_results(ranked, options.output, options.files)
+    if options.report:
+        metrics.taken()
+        metrics.funnel(spark).show(truncate=False)
     if not options.stage_dir:
         removed(spark, stage_dir)
 

@@ -161,7 +161,7 @@ def test_a_broken_stage_is_made_again(spark, files, top, tmp_path):  # noqa: F81
     (folder / "unigram_counts" / "_manifest").unlink()
     got = run(spark, files, folder, resume=True)
     assert sorted(map(tuple, got.collect())) == top
-    assert manifests.read_manifest(spark, f"{folder}/unigram_counts") is not None
+    assert manifests.read_note(spark, f"{folder}/unigram_counts") is not None
 
 
 def test_job_with_sequence_files_stop_words_and_buckets(spark, line_tables, tmp_path):  # noqa: F811
