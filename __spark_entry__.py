@@ -17,7 +17,7 @@ from pairsift.functions.text import clean_token, decade_of  # noqa: E402
 from pairsift.operators import cleaning, counts, joins, ranking, scoring, stats  # noqa: E402
 from pairsift.operators.metrics import Metrics  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
-from pairsift.sources import corpus, ngrams, results, stopwords  # noqa: E402
+from pairsift.sources import corpus, ngrams, results, sequence, stopwords  # noqa: E402
 from pairsift.stages import new_folder  # noqa: E402
 
 try:  # the subpackage for training data and its pipeline can be taken out
@@ -180,6 +180,13 @@ def from_sequence_files(t: Tables) -> DataFrame:
     )
 
 
+def sequence_stage(t: Tables) -> DataFrame:
+    """Pair counts as another program gets them: out of SequenceFiles."""
+    folder = new_folder(t.spark, "sequence_stage")
+    sequence.write_table(t.pairs(), folder, codec="org.apache.hadoop.io.compress.DefaultCodec")
+    return sequence.read_table(t.spark, folder, "decade int, w1 string, w2 string, c12 bigint")
+
+
 def result_files(t: Tables) -> DataFrame:
     """The ranked pairs as they come back from result files written twice."""
     folder = new_folder(t.spark, "results")
@@ -310,6 +317,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         t.clean_bigrams(), stopwords.stopword_table(t.spark)
     ),
     "bigram_counts": lambda t: t.pairs(),
+    "bigram_counts_from_sequence": sequence_stage,
     "bigram_counts_sorted": lambda t: counts.in_key_order(t.pairs()),
     "unigram_counts": lambda t: t.unigrams(),
     "decade_totals": lambda t: counts.decade_totals(t.unigrams()),

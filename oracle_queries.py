@@ -269,6 +269,7 @@ def all_sql() -> dict[str, str]:
         "bigram_stopword_filter": _documents("SELECT decade, w1, w2, cnt FROM kept"),
         "bigram_stopword_antijoin": _documents("SELECT decade, w1, w2, cnt FROM kept"),
         "bigram_counts": _documents("SELECT decade, w1, w2, c12 FROM pairs"),
+        "bigram_counts_from_sequence": _documents("SELECT decade, w1, w2, c12 FROM pairs"),
         "bigram_counts_sorted": _documents("SELECT decade, w1, w2, c12 FROM pairs ORDER BY ALL"),
         "unigram_counts": _documents("SELECT decade, w, c FROM unigrams"),
         "decade_totals": _documents("SELECT decade, n FROM totals"),

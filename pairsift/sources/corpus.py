@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import token_list
-from pairsift.sources.ngrams import LONG_WRITABLE, TEXT_WRITABLE
+from pairsift.sources.sequence import write_sequence as write_sequence
 
 # The documents hold no Hebrew; their letters are put into Hebrew ones.
 LATIN = "abcdefghijklmnopqrstuv"
@@ -95,17 +95,3 @@ def product_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, Data
     )
     line = F.concat_ws("\t", "ngram", "year", "cnt").alias("value")
     return words.select(line), named.withColumnRenamed("p_name", "ngram").select(line)
-
-
-def write_sequence(lines: DataFrame, path: str) -> None:
-    """Lines as Hadoop SequenceFiles, the input format of :func:`ngrams.read_sequence`.
-
-    Spark has no DataFrame writer for it. The ids, which nobody reads, have more than
-    31 bits, as smaller numbers of Python's would become ``IntWritable``.
-    """
-    lines.rdd.map(lambda row: (1 << 40, row.value)).saveAsNewAPIHadoopFile(
-        path,
-        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-        LONG_WRITABLE,
-        TEXT_WRITABLE,
-    )

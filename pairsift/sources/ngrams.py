@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import computed, token_list, whole_number
-
-LONG_WRITABLE = "org.apache.hadoop.io.LongWritable"
-TEXT_WRITABLE = "org.apache.hadoop.io.Text"
+from pairsift.sources.sequence import read_sequence as read_sequence
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -19,20 +17,6 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_sequence(spark: SparkSession, path: str) -> DataFrame:
-    """Lines of Hadoop SequenceFiles (``LongWritable`` id, ``Text`` line).
-
-    Splits are read in parallel by the JVM, which takes each ``Text`` apart into its
-    buffer and the length in use; no line passes through Python.
-    """
-    jvm, java_session = spark._jvm, spark._jsparkSession
-    classes = [jvm.java.lang.Class.forName(name) for name in (LONG_WRITABLE, TEXT_WRITABLE)]
-    texts = spark.sparkContext._jsc.sequenceFile(path, *classes).values()
-    buffers = DataFrame(java_session.createDataFrame(texts, classes[1]), spark)
-    line = F.substring("bytes", F.lit(1), F.col("length"))
-    return buffers.select(F.decode(line, "UTF-8").alias("value"))
-
-
 def line_fields(value: Column) -> Column:
     """The fields of a line as an array, all after the third in one."""
     return F.split(value, "\t", 4)
