@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import warnings
 from collections.abc import Callable
 from functools import cached_property
 from pathlib import Path
@@ -14,18 +15,19 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracle_queries  # noqa: E402
 from pairsift.functions.text import clean_token, decade_of  # noqa: E402
-from pairsift.operators import cleaning, counts, joins, ranking, scoring, stats  # noqa: E402
+from pairsift.operators import cleaning, counts, filters, joins, ranking, scoring, stats  # noqa: E402
 from pairsift.operators.metrics import Metrics  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
 from pairsift.sources import corpus, ngrams, results, sequence, stopwords  # noqa: E402
-from pairsift.stages import new_folder  # noqa: E402
+from pairsift.stages import new_folder, staged  # noqa: E402
 
 try:  # the subpackage for training data and its pipeline can be taken out
     import corpus_pipeline
     from pairsift.llm import queries as llm_queries
-except ModuleNotFoundError as missing:
+except ImportError as missing:
+    # Also without a package that only they need; the other queries work either way.
     if missing.name not in ("corpus_pipeline", "pairsift.llm"):
-        raise
+        warnings.warn(f"no queries for training data: {missing}", stacklevel=2)
     llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +182,40 @@ def from_sequence_files(t: Tables) -> DataFrame:
     )
 
 
+def from_filtered_words(t: Tables) -> DataFrame:
+    """The same with word counts that pass a filter of the pairs' words, in stored stages."""
+    return plan.collocations(
+        t.unigram_lines(),
+        t.bigram_lines(),
+        stage_dir=new_folder(t.spark, "filtered"),
+        decimals=DECIMALS,
+        word_filter=filters.BITS,
+    )
+
+
+def bounded_top(t: Tables, k: int) -> DataFrame:
+    """The best pairs out of a stored table, most of which a bound drops before the sort."""
+    return ranking.topk_of_stored(staged(t.scored(), new_folder(t.spark, "scored")), k)
+
+
+def checked_results(t: Tables) -> DataFrame:
+    """Result lines, each once as it is and once for each way in which it can be wrong."""
+    folder = new_folder(t.spark, "damaged")
+    top = documents_top(t).withColumn("score", F.col("score").cast(f"decimal(24,{DECIMALS})"))
+    fields = "concat_ws('\t', decade, {score}, {pair})"
+    whole = fields.format(score="score", pair="concat(w1, ',', w2)")
+    kinds = [
+        whole,
+        f"replace({whole}, '\t', ' ')",
+        f"concat('  ', {whole})",
+        fields.format(score="'n/a'", pair="concat(w1, ',', w2)"),
+        fields.format(score="score", pair="concat(w1, ' ', w2)"),
+        fields.format(score="score", pair="concat(w1, '9', w2, ',', w2)"),
+    ]
+    top.select(F.explode(F.array(*map(F.expr, kinds))).alias("value")).write.text(folder)
+    return rounded(results.read_results_checked(t.spark, folder).drop("file"), "score")
+
+
 def sequence_stage(t: Tables) -> DataFrame:
     """Pair counts as another program gets them: out of SequenceFiles."""
     folder = new_folder(t.spark, "sequence_stage")
@@ -336,7 +372,11 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "collocations_from_text": from_text_files,
     "collocations_from_sequence": from_sequence_files,
     "collocations_from_buckets": from_buckets,
+    "collocations_filtered_words": from_filtered_words,
+    "topk_by_bounds": lambda t: bounded_top(t, TOP_FEW),
+    "topk_by_bounds_5000": lambda t: bounded_top(t, MANY),
     "result_files": result_files,
+    "result_lines_checked": checked_results,
     "bigram_counts_hebrew": lambda t: plan.counted_pairs(hebrew_lines(t)[1]),
     "collocations_hebrew": lambda t: plan.collocations(*hebrew_lines(t), decimals=DECIMALS),
     "clean_token_edges": token_edges,
@@ -346,6 +386,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stage_funnel_observed": observed_funnel,
     "rejects_by_reason": rejects,
     "pair_decades": lambda t: stats.pair_decades(documents_top(t)),
+    "pair_runs": lambda t: stats.pair_runs(documents_top(t)),
 }
 
 

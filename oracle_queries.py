@@ -236,6 +236,48 @@ def _funnel() -> str:
     )
 
 
+def _checked() -> str:
+    """Result lines and their damaged forms, with what is wrong with each."""
+    score = f"(score::DECIMAL(24, {DECIMALS}))"
+    line = f"decade || chr(9) || {score} || chr(9) || w1 || ',' || w2"
+
+    def wrong(problem: str, text: str) -> str:
+        return (
+            "SELECT NULL::INTEGER AS decade, NULL::DOUBLE AS score, NULL AS w1, NULL AS w2,"
+            f" '{problem}' AS problem, {text} AS line FROM best"
+        )
+
+    return _documents(
+        " UNION ALL ".join(
+            [
+                "SELECT decade, score, w1, w2, NULL AS problem, NULL AS line FROM best",
+                wrong("fields", f"replace({line}, chr(9), ' ')"),
+                wrong("decade", f"'  ' || {line}"),
+                wrong("score", "decade || chr(9) || 'n/a' || chr(9) || w1 || ',' || w2"),
+                wrong("pair", f"decade || chr(9) || {score} || chr(9) || w1 || ' ' || w2"),
+                wrong("word", f"decade || chr(9) || {score} || chr(9) || w1 || '9' || w2 || ',' || w2"),
+            ]
+        ),
+        "best AS (FROM ranked WHERE rn <= 100)",
+    )
+
+
+def _runs() -> str:
+    return _documents(
+        "SELECT w1, w2, min(first) AS first_decade, max(last) AS last_decade, sum(n)::BIGINT AS decades,"
+        " string_agg(CASE WHEN last = (SELECT max(decade) FROM best) THEN first || '+'"
+        " WHEN first = last THEN first::VARCHAR ELSE first || '-' || last END, ', ' ORDER BY first) AS runs"
+        " FROM runs GROUP BY ALL",
+        "best AS (FROM ranked WHERE rn <= 100)",
+        # A run begins where the decade before is missing.
+        "marked AS (SELECT *, CASE WHEN lag(decade) OVER (PARTITION BY w1, w2 ORDER BY decade) = decade - 10"
+        " THEN 0 ELSE 1 END AS begins FROM best)",
+        "numbered AS (SELECT *, sum(begins) OVER (PARTITION BY w1, w2 ORDER BY decade) AS run FROM marked)",
+        "runs AS (SELECT w1, w2, run, min(decade) AS first, max(decade) AS last, count(*) AS n"
+        " FROM numbered GROUP BY ALL)",
+    )
+
+
 def _stopword_counts() -> str:
     listed = " UNION ALL ".join(
         f"SELECT unnest([{', '.join(map(_quoted, words))}]) AS w, '{lang}' AS lang"
@@ -298,6 +340,11 @@ def all_sql() -> dict[str, str]:
         "collocations_from_text": _documents(f"SELECT * {top}"),
         "collocations_from_buckets": _documents(f"SELECT * {top}"),
         "collocations_from_sequence": _documents(f"SELECT * {top}"),
+        "collocations_filtered_words": _documents(f"SELECT * {top}"),
+        "topk_by_bounds": _documents("SELECT * FROM ranked WHERE rn <= 10"),
+        "topk_by_bounds_5000": _documents("SELECT * FROM ranked WHERE rn <= 5000"),
+        "result_lines_checked": _checked(),
+        "pair_runs": _runs(),
         "result_files": _documents(f"SELECT decade, score, w1, w2 {top}"),
         "bigram_counts_hebrew": _hebrew("SELECT decade, w1, w2, c12 FROM pairs"),
         "collocations_hebrew": _hebrew(f"SELECT * {top}"),

@@ -37,6 +37,52 @@ def topk_per_decade(scored: DataFrame, k: int = 100, buckets: int = BUCKETS) ->
     return best.withColumn("rn", F.col("rn").cast("bigint")).select(*RANKED)
 
 
+# Steps of a score's size in which pairs are counted: 32 for each factor of e.
+STEPS = 32
+ABOVE, BELOW = 1_000_000, -1_000_000  # of NaN and infinity, and of scores without a logarithm
+
+
+def step_of(score: Column) -> Column:
+    """A whole number that never falls when the score rises."""
+    step = F.floor(F.log(score) * STEPS)
+    above = F.isnan(score) | (score == float("inf"))
+    return F.when(above, ABOVE).when(score > 0, step).otherwise(BELOW).cast("int")
+
+
+def bounds_of(scored: DataFrame, k: int) -> DataFrame:
+    """``decade, least``: the step that every one of a decade's ``k`` best pairs reaches.
+
+    Pairs are counted by decade and step, in each task first, so a few thousand rows per
+    decade are shuffled at most. Steps are taken from the top until they hold ``k`` pairs:
+    a pair below has ``k`` better ones. A decade of fewer pairs keeps all.
+    """
+    counted = scored.groupBy("decade", step_of(F.col("score")).alias("step")).agg(F.count("*").alias("pairs"))
+    down = Window.partitionBy("decade").orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, -1)
+    better = F.coalesce(F.sum("pairs").over(down), F.lit(0))
+    wanted = counted.withColumn("better", better).where(F.col("better") < k)
+    return wanted.groupBy("decade").agg(F.min("step").alias("least"))
+
+
+def may_be_best(scored: DataFrame, k: int) -> DataFrame:
+    """The pairs that reach their decade's bound: all of the ``k`` best, and few others."""
+    bounds = bounds_of(scored, k).withColumnRenamed("decade", "of")
+    same = F.col("decade").eqNullSafe(F.col("of"))
+    # One row per decade, which adaptive execution broadcasts; a decade's partition is
+    # split otherwise, as nothing is grouped here.
+    reached = scored.join(bounds, same).where(step_of(F.col("score")) >= F.col("least"))
+    return reached.select(*scored.columns)
+
+
+def topk_of_stored(scored: DataFrame, k: int = 100, buckets: int = BUCKETS) -> DataFrame:
+    """:func:`topk_per_decade` of a stored table, which is read twice.
+
+    The first pass finds a bound for each decade; pairs below it are dropped before any
+    window sorts them. Of a table that is computed, not stored, this would compute all
+    twice.
+    """
+    return topk_per_decade(may_be_best(scored, k), k, buckets)
+
+
 def rank_per_decade(scored: DataFrame) -> DataFrame:
     """``decade, rn, score, w1, w2`` of all pairs, however many a decade has.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairsift.functions.text import clean_token, computed, decade_of, token_list, whole_number
@@ -152,3 +152,32 @@ def pair_decades(ranked: DataFrame) -> DataFrame:
     """
     decades = F.sort_array(F.collect_set("decade")).cast("array<string>")
     return ranked.groupBy("w1", "w2").agg(F.concat_ws(",", decades).alias("decades"))
+
+
+def pair_runs(ranked: DataFrame, open_end: bool = True) -> DataFrame:
+    """``w1, w2, first_decade, last_decade, decades, runs``: when a pair stood in the lists.
+
+    ``runs`` lists runs of decades without a gap, in order: ``1790, 1860-1880, 1900+``. A
+    run that reaches the last decade of all lists ends in ``+`` (unless not ``open_end``).
+    Decades that repeat count once. Islands are found by the difference of a decade and
+    its number in the pair's own order, in one shuffle by pair: a group has one row per
+    decade. A pair without a decade is left out.
+    """
+    last = ranked.agg(F.max("decade").alias("end"))  # one row
+    days = ranked.where("decade IS NOT NULL").select("w1", "w2", "decade").distinct()
+    number = F.row_number().over(Window.partitionBy("w1", "w2").orderBy("decade"))
+    islands = days.withColumn("island", F.col("decade") - 10 * number)
+    runs = islands.groupBy("w1", "w2", "island").agg(
+        F.min("decade").alias("first"), F.max("decade").alias("last"), F.count("*").alias("decades")
+    )
+    end = last.first()["end"] if open_end else None
+    first, until = F.col("first").cast("string"), F.col("last").cast("string")
+    text = F.when(F.col("last") == F.lit(end), F.concat(first, F.lit("+"))) if end is not None else F.when(F.lit(False), first)
+    text = text.when(F.col("first") == F.col("last"), first).otherwise(F.concat(first, F.lit("-"), until))
+    listed = F.sort_array(F.collect_list(F.struct("first", text.alias("text"))))
+    return runs.groupBy("w1", "w2").agg(
+        F.min("first").alias("first_decade"),
+        F.max("last").alias("last_decade"),
+        F.sum("decades").alias("decades"),
+        F.concat_ws(", ", listed["text"]).alias("runs"),
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pairsift import manifests
 from pairsift.functions import likelihood, text
 from pairsift.manifests import Recipe
-from pairsift.operators import cleaning, counts, joins, scoring
+from pairsift.operators import cleaning, counts, filters, joins, scoring
 from pairsift.operators.cleaning import (
     clean_bigrams,
     clean_unigrams,
@@ -20,7 +20,7 @@ from pairsift.operators.cleaning import (
 from pairsift.operators.counts import bigram_counts, decade_totals, unigram_counts
 from pairsift.operators.joins import with_totals, with_word_count
 from pairsift.operators.metrics import Metrics, Uncounted
-from pairsift.operators.ranking import topk_per_decade
+from pairsift.operators.ranking import topk_of_stored, topk_per_decade
 from pairsift.operators.scoring import with_score
 from pairsift.sources import ngrams
 from pairsift.sources.ngrams import parse_ngrams, split_bigrams
@@ -128,6 +128,7 @@ def collocations(
     buckets: int | None = None,
     paths: tuple[Iterable[str], Iterable[str]] | None = None,
     metrics: Metrics = UNCOUNTED,
+    word_filter: int | None = None,
 ) -> DataFrame:
     """``decade, rn, score, w1, w2``: the ``k`` strongest pairs of each decade.
 
@@ -153,7 +154,15 @@ def collocations(
     ones in the job that uses the result: call ``metrics.taken()`` after it. Counting
     needs ``stage_dir``, as a lazy run has some steps in its plan more than once. With a
     table of stop words lines with these count as accepted, as they go after the sums.
+
+    ``word_filter`` is the size in bits of a filter of the pairs' words. Word counts that
+    no pair asks for, which are most of them in texts with many rare words, then go
+    before they are shuffled to the joins; decade totals have all words. The filter is
+    built from the stored pairs, so it needs ``stage_dir``; a filter that is too small
+    lets more words through and changes no result.
     """
+    if word_filter and stage_dir is None:
+        raise ValueError("a filter of words is built from stored pairs: name a stage_dir")
     if stage_dir is None and not isinstance(metrics, Uncounted):
         raise ValueError("metrics are counted while stages are stored: name a stage_dir")
     keep = keep_in(stage_dir, resume, buckets, metrics)
@@ -169,12 +178,18 @@ def collocations(
             scored_of = recipe(joined=manifests.digest(joined_of), strict=strict)
     unigrams = counted_words(unigram_lines, keep, words_of, metrics)
     pairs = counted_pairs(bigram_lines, stopwords, keep, pairs_of, metrics)
-    with_c1 = with_word_count(pairs, unigrams, "w1", "c1", in_place)
+    asked = unigrams
+    if word_filter:
+        filter_of = pairs_of and recipe(pairs=manifests.digest(pairs_of), bits=word_filter)
+        words = keep("word_filter", filters.words_of_pairs(pairs, word_filter), filter_of)
+        asked = filters.words_in_pairs(unigrams, words, word_filter)
+    with_c1 = with_word_count(pairs, asked, "w1", "c1", in_place)
     with_c1 = keep("with_c1", metrics.counted("with_c1", with_c1), joined_of, ("decade", "w2"))
-    with_c2 = metrics.counted("with_c2", with_word_count(with_c1, unigrams, "w2", "c2", in_place))
+    with_c2 = metrics.counted("with_c2", with_word_count(with_c1, asked, "w2", "c2", in_place))
     totals = metrics.counted("totals", decade_totals(unigrams))
     scored = metrics.counted("scored", with_score(with_totals(with_c2, totals, strict)))
     scored = keep("scored", scored, scored_of)
     if decimals is not None:
         scored = scored.withColumn("score", F.round("score", decimals))
-    return metrics.counted("top", topk_per_decade(scored, k))
+    best = topk_per_decade if stage_dir is None else topk_of_stored
+    return metrics.counted("top", best(scored, k))

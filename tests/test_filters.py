@@ -1,0 +1,161 @@
+"""The filter of words, bounds before the sort, decade runs and damaged result lines."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from pairsift.operators import filters, ranking, stats
+from pairsift.plans.collocations import collocations
+from pairsift.sources.results import read_results_checked
+from tests.test_pipeline import line_tables, top  # noqa: F401
+
+SCORED = "decade int, w1 string, w2 string, score double"
+
+
+def records(df, operator):
+    """Rows that the operators of one kind put out when the plan ran."""
+    df.collect()
+    found = []
+
+    def visit(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return visit(node.finalPhysicalPlan())
+        if name.endswith("QueryStageExec"):
+            return visit(node.plan())
+        if name == operator:
+            metrics = node.metrics()
+            key = "shuffleRecordsWritten" if "Exchange" in operator else "numOutputRows"
+            below = node.children().apply(0) if operator == "SortExec" else node
+            if operator == "SortExec":  # rows that come to be sorted
+                while not below.metrics().contains("numOutputRows") and not below.metrics().contains("shuffleRecordsWritten"):
+                    name = below.getClass().getSimpleName()
+                    below = below.plan() if name.endswith("QueryStageExec") else below.children().apply(0)
+                metrics = below.metrics()
+                key = "numOutputRows" if metrics.contains("numOutputRows") else "shuffleRecordsWritten"
+            found.append(metrics.apply(key).value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def word_tables(spark):
+    words = spark.range(20_000).select(
+        (F.lit(1990) + F.col("id") % 2 * 10).cast("int").alias("decade"), F.concat(F.lit("w"), "id").alias("w"),
+        F.col("id").alias("c"),
+    )
+    pairs = spark.range(500).select(
+        (F.lit(1990) + F.col("id") % 2 * 10).cast("int").alias("decade"), F.concat(F.lit("w"), "id").alias("w1"),
+        F.concat(F.lit("w"), F.col("id") + 1000).alias("w2"), F.lit(1).alias("c12"),
+    )
+    return words, pairs
+
+
+def test_filter_has_all_words_of_pairs_and_few_others(spark):
+    words, pairs = word_tables(spark)
+    asked = filters.words_in_pairs(words, filters.words_of_pairs(pairs))
+    left = {(r.decade, r.w) for r in asked.collect()}
+    wanted = {(r.decade, w) for r in pairs.collect() for w in (r.w1, r.w2)} & {(r.decade, r.w) for r in words.collect()}
+    assert wanted <= left and len(left) < len(wanted) + 50
+    # One that is too small lets all through and loses none.
+    few = filters.PART_BITS
+    many = filters.built(words, [F.col("decade"), F.col("w")], few)
+    assert filters.words_in_pairs(words, many, few).count() == 20_000
+    with pytest.raises(ValueError):
+        filters.built(words, [F.col("w")], 100)
+
+
+def test_filters_are_merged(spark):
+    words, pairs = word_tables(spark)
+    halves = [filters.words_of_pairs(pairs.where(f"c12 + decade % 20 = {i}")) for i in (1, 11)]
+    whole, again = filters.words_of_pairs(pairs), filters.merged(*halves)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_filtered_words_are_shuffled_less(spark, conf):
+    from pairsift.operators.joins import with_word_count
+
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    words, pairs = word_tables(spark)
+    asked = filters.words_in_pairs(words, filters.words_of_pairs(pairs))
+    plain, filtered = (with_word_count(pairs, table, "w1", "c1") for table in (words, asked))
+    assert sorted(plain.collect()) == sorted(filtered.collect())
+    assert max(records(plain, "ShuffleExchangeExec")) == 20_000
+    assert max(records(filtered, "ShuffleExchangeExec")) < 3_500  # bits and pairs are among them
+
+
+def test_filter_does_not_matter(spark, line_tables, top, tmp_path):  # noqa: F811
+    for bits in (filters.PART_BITS, filters.BITS):
+        got = collocations(*line_tables, stage_dir=f"{tmp_path}/{bits}", word_filter=bits)
+        assert sorted(map(tuple, got.collect())) == top
+    with pytest.raises(ValueError, match="stage_dir"):
+        collocations(*line_tables, word_filter=filters.BITS)
+
+
+def scores(spark, n=20_000):
+    rnd = random.Random(1)
+    odd = [float("nan"), float("inf"), 0.0, -0.0, -5.5, 1e-300, 1e300, None, 7.25]
+    rows = [(rnd.choice([1990, 2000, None]), f"a{i}", f"b{i}", rnd.choice([rnd.expovariate(0.01), float(rnd.randint(0, 9))])) for i in range(n)]
+    rows += [(decade, f"x{i}", f"y{j}", odd[i]) for decade in (1990, 2010) for i in range(len(odd)) for j in range(4)]
+    return spark.createDataFrame(rows, SCORED)
+
+
+@pytest.mark.parametrize("k", [1, 10, 100, 5000])
+def test_bounds_keep_the_best(spark, tmp_path, k):
+    scores(spark).write.parquet(f"{tmp_path}/s")
+    scored = spark.read.schema(SCORED).parquet(f"{tmp_path}/s")
+    wanted = sorted(repr(tuple(r)) for r in ranking.topk_per_decade(scored, k).collect())  # NaN is not itself
+    assert sorted(repr(tuple(r)) for r in ranking.topk_of_stored(scored, k).collect()) == wanted
+    left = ranking.may_be_best(scored, k).count()
+    assert left < 20_000 * 0.1 + 6 * k
+
+
+def test_fewer_rows_are_sorted(spark, tmp_path):
+    scores(spark).write.parquet(f"{tmp_path}/s")
+    scored = spark.read.schema(SCORED).parquet(f"{tmp_path}/s")
+    assert max(records(ranking.topk_per_decade(scored, 100), "SortExec")) > 15_000
+    assert max(records(ranking.topk_of_stored(scored, 100), "SortExec")) < 5_000
+
+
+def test_steps_never_fall(spark):
+    rows = scores(spark).where("score IS NOT NULL").select("score", ranking.step_of(F.col("score")).alias("step"))
+    found = [r.step for r in rows.orderBy("score").collect()]  # NaN last
+    assert found == sorted(found)
+
+
+def test_runs_of_decades(spark):
+    rows = [("a", "b", d) for d in (1790, 1860, 1900, 1910, 1910, 1920)] + [("c", "d", 1800), ("e", "f", 1920)]
+    rows += [("g", "h", 1830), ("g", "h", 1840), ("i", "j", None), ("k", "l", -10), ("k", "l", 0)]
+    ranked = spark.createDataFrame(rows, "w1 string, w2 string, decade int")
+    got = {r.w1: (r.first_decade, r.last_decade, r.decades, r.runs) for r in stats.pair_runs(ranked).collect()}
+    assert got == {
+        "a": (1790, 1920, 5, "1790, 1860, 1900+"), "c": (1800, 1800, 1, "1800"), "e": (1920, 1920, 1, "1920+"),
+        "g": (1830, 1840, 2, "1830-1840"), "k": (-10, 0, 2, "-10-0"),
+    }
+    closed = {r.w1: r.runs for r in stats.pair_runs(ranked, open_end=False).collect()}
+    assert closed["a"] == "1790, 1860, 1900-1920" and closed["e"] == "1920"
+    assert stats.pair_runs(ranked.limit(0)).collect() == []
+
+
+def test_damaged_result_lines(spark, tmp_path):
+    lines = {
+        "1990\t12.5\tbig,dog": None, "2000\t1.1067861081433932E8\tתל,אביב": None, "1990\tNaN\tab,cd": None,
+        "   1540\t12.5\tbig,dog": "decade", "1995\t12.5\tbig,dog": "decade", "\t12.5\tbig,dog": "decade",
+        "1980\t12\tbig,dog": "score", "1980\t\tbig,dog": "score", "1980\t1.5\tbig dog": "pair", "1980\t1.5\ta,b,c": "pair",
+        "1980\t1.5\tseven9teen,dog": "word", "1980\t1.5\ta,dog": "word", "1980\t1.5\t,": "word", "": "fields",
+        "1980\t1.5": "fields", "1980\t1.5\tbig,dog\tx": "fields", "1980 1.5 big,dog": "fields",
+    }
+    (tmp_path / "part-1").write_text("\n".join(lines) + "\n")
+    rows = read_results_checked(spark, str(tmp_path)).collect()
+    assert len(rows) == len(lines)
+    for row in rows:
+        if row.problem is None:
+            assert row.line is None and None not in (row.decade, row.score, row.w1, row.w2) and row.file == "part-1"
+        else:
+            assert lines[row.line] == row.problem and row[1:5] == (None, None, None, None)
+    assert sum(row.problem is None for row in rows) == 3
