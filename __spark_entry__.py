@@ -18,8 +18,9 @@ from pairsift.functions.text import clean_token, decade_of  # noqa: E402
 from pairsift.operators import cleaning, counts, filters, joins, ranking, scoring, stats  # noqa: E402
 from pairsift.operators.metrics import Metrics  # noqa: E402
 from pairsift.plans import collocations as plan  # noqa: E402
-from pairsift.sources import corpus, ngrams, results, sequence, stopwords  # noqa: E402
+from pairsift.sources import corpus, ngrams, ranges, results, sequence, stopwords  # noqa: E402
 from pairsift.stages import new_folder, staged  # noqa: E402
+from pairsift.sums import StoredSums  # noqa: E402
 
 try:  # the subpackage for training data and its pipeline can be taken out
     import corpus_pipeline
@@ -216,6 +217,28 @@ def checked_results(t: Tables) -> DataFrame:
     return rounded(results.read_results_checked(t.spark, folder).drop("file"), "score")
 
 
+def looked_up(t: Tables) -> DataFrame:
+    """The pairs of the most frequent first words, out of files in key order."""
+    folder = new_folder(t.spark, "ranges")
+    pairs = staged(t.pairs(), f"{folder}/pairs")
+    ranges.write_ranges(pairs, f"{folder}/ordered", 24)
+    frequent = pairs.groupBy("w1").agg(F.sum("c12").alias("c")).orderBy(F.desc("c"), "w1").limit(TOP_FEW)
+    return ranges.pairs_of(t.spark, f"{folder}/ordered", [row["w1"] for row in frequent.collect()])
+
+
+def loaded_twice(t: Tables) -> DataFrame:
+    """Pair counts of two loads, the second of which brings files of the first along."""
+    folder, schema = new_folder(t.spark, "sums"), "decade int, w1 string, w2 string, c12 bigint"
+    table = t.table("documents")
+    for half in (0, 1):
+        texts = corpus.texts(table.where(F.pmod(F.xxhash64("text"), F.lit(2)) == half), "doc_id")
+        corpus.bigram_lines(texts).write.text(f"{folder}/lines/{half}")
+    sums = StoredSums(t.spark, f"{folder}/sums", ["decade", "w1", "w2"], "c12")
+    for paths in ([f"{folder}/lines/0"], [f"{folder}/lines/0", f"{folder}/lines/1"]):
+        sums.load(paths, lambda names: plan.counted_pairs(t.spark.read.text(names)), schema)
+    return sums.rows(schema)
+
+
 def sequence_stage(t: Tables) -> DataFrame:
     """Pair counts as another program gets them: out of SequenceFiles."""
     folder = new_folder(t.spark, "sequence_stage")
@@ -354,6 +377,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "bigram_counts": lambda t: t.pairs(),
     "bigram_counts_from_sequence": sequence_stage,
+    "bigram_counts_of_two_loads": loaded_twice,
+    "pairs_of_frequent_words": looked_up,
     "bigram_counts_sorted": lambda t: counts.in_key_order(t.pairs()),
     "unigram_counts": lambda t: t.unigrams(),
     "decade_totals": lambda t: counts.decade_totals(t.unigrams()),

@@ -312,6 +312,11 @@ def all_sql() -> dict[str, str]:
         "bigram_stopword_antijoin": _documents("SELECT decade, w1, w2, cnt FROM kept"),
         "bigram_counts": _documents("SELECT decade, w1, w2, c12 FROM pairs"),
         "bigram_counts_from_sequence": _documents("SELECT decade, w1, w2, c12 FROM pairs"),
+        "bigram_counts_of_two_loads": _documents("SELECT decade, w1, w2, c12 FROM pairs"),
+        "pairs_of_frequent_words": _documents(
+            "SELECT decade, w1, w2, c12 FROM pairs WHERE w1 IN (FROM frequent)",
+            "frequent AS (SELECT w1 FROM pairs GROUP BY w1 ORDER BY sum(c12) DESC, w1 LIMIT 10)",
+        ),
         "bigram_counts_sorted": _documents("SELECT decade, w1, w2, c12 FROM pairs ORDER BY ALL"),
         "unigram_counts": _documents("SELECT decade, w, c FROM unigrams"),
         "decade_totals": _documents("SELECT decade, n FROM totals"),

@@ -63,3 +63,11 @@ def words_of_pairs(pairs: DataFrame, bits: int = BITS) -> DataFrame:
 def words_in_pairs(unigrams: DataFrame, filter_: DataFrame, bits: int = BITS) -> DataFrame:
     """The word counts that some pair may ask for."""
     return may_be_in(unigrams, filter_, [F.col("decade"), F.col("w")], bits)
+
+
+def any_of(conditions: list[Column]) -> Column:
+    """Whether one of the conditions holds; of none, false."""
+    found = F.lit(False)
+    for condition in conditions:
+        found = found | condition
+    return found
