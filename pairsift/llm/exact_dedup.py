@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
+from pairsift.manifests import files_of, read_note, write_note
 from pairsift.stages import new_folder
 
+NOTE = "_index"
+
 
 class DigestIndex:
     """Digests of all texts seen so far: ``digest, keep_id, batch``, one row per text.
@@ -17,15 +20,29 @@ class DigestIndex:
     The table is bucketed and sorted by digest in a folder that all machines
     share. Digests of new data are summed up per text first, so a bucket gets one
     row per text; they meet the index in a sort-merge anti-join that shuffles the
-    new rows only, and what is new is appended in the same buckets.
+    new rows only, and what is new is appended in the same buckets. Their number is noted
+    in the folder, as a digest is only met in its own bucket.
     """
 
     def __init__(self, spark: SparkSession, folder: str | None = None, buckets: int | None = None):
-        """``buckets`` is fixed with the first batch; the default is the session's
-        number of shuffle partitions, so that a sum by digest lands in buckets."""
+        """Opens the index of a folder, or begins one there.
+
+        ``buckets`` is for a new index; the default is the session's number of shuffle
+        partitions, so that a sum by digest lands in buckets. An index that exists keeps
+        the number it was begun with, and another one given here is an error; so is an
+        index whose folder has rows and no note, unless ``buckets`` says what it has.
+        """
         self.spark = spark
         self.folder = folder or new_folder(spark, "digest_index")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        noted = read_note(spark, self.folder, NOTE)
+        if noted is None:
+            if buckets is None and files_of(spark, [self.folder]):
+                raise ValueError(f"{self.folder} holds an index without a note of its buckets: name their number")
+            noted = {"buckets": buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))}
+            write_note(spark, self.folder, noted, NOTE)
+        self.buckets = noted["buckets"]
+        if buckets not in (None, self.buckets):
+            raise ValueError(f"{self.folder} has {self.buckets} buckets, not {buckets}")
         self.name = f"digest_index_{uuid.uuid4().hex}"
         spark.sql(
             f"CREATE TABLE {self.name} (digest BINARY, keep_id BIGINT, batch STRING) USING parquet"
@@ -95,7 +112,12 @@ def dedup(
 def survivors(
     docs: DataFrame, index: DigestIndex | None = None, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, all columns; one of rows repeated in id and text."""
+    """The rows of ``docs`` that stay, all columns; one of rows repeated in id and text.
+
+    A null text counts as empty; of equal texts the row with the largest id stays, one
+    without an id only if there is no other. An empty table gives an empty result; columns
+    of any other name are carried along.
+    """
     stays = dedup(docs, index, doc_id=doc_id, text=text).where("kept").select(
         F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest")
     ).distinct()

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
 from pairsift.stages import discarded
 
-# The first rule that a text meets names its topic.
+# An example of topics: the first rule that a text meets names its topic. A corpus has
+# rules of its own, or a column with a classifier's topics.
 TOPICS = (
     ("contact", r"[A-Za-z0-9]@[A-Za-z0-9]|[0-9]{3}-[0-9]{4}|[0-9]\.[0-9]+\.[0-9]+\.[0-9]"),
     ("legal", r"[Ll]icensed under|License,|[Cc]opyright"),
@@ -20,7 +21,6 @@ TOPICS = (
 OTHER_TOPIC = "prose"
 UNKNOWN = "?"
 HASH_DIGITS = 13
-STORED = 4  # sweeps after which the cells are stored
 
 # Shares are tokens raised to these powers: 1 keeps a marginal, 0 makes it even.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.8}
@@ -67,8 +67,10 @@ def rake(
     cells cannot meet together leave the last dimension closest to its own. A category
     without a target gives nothing, a target of a category without tokens asks for
     nothing. Cells may be many, so they stay a table (one row for each source,
-    language and topic that occur together, however many documents there are), stored
-    every few sweeps; one number per dimension comes to the driver.
+    language and topic that occur together, however many documents there are). A step
+    sums them up by category, which starts in each task, and joins the sums back, so a
+    topic that most cells have is no task of its own; its result is stored. One number
+    per dimension comes to the driver.
     """
     everything = total(cells, "tokens") * share
     now = cells.withColumn("wanted", F.col("tokens") * F.lit(float(share)))
@@ -76,17 +78,15 @@ def rake(
         present = target.join(cells.select(name).distinct(), name)
         scale = everything / (total(present, "target") or 1.0)
         now = now.join(present.select(name, (F.col("target") * scale).alias(f"goal_{name}")), name, "left")
-    now = last = kept(now, "raked")
-    for sweep in range(1, sweeps + 1):
-        for name in targets:
-            found = F.sum("wanted").over(Window.partitionBy(name))
-            factor = F.when(found > 0, F.col(f"goal_{name}") / found)
-            scaled = F.col("wanted") * F.coalesce(factor, F.lit(0.0))
-            now = now.withColumn("wanted", F.least(F.col("tokens").cast("double"), scaled))
-        if sweep % STORED == 0 or sweep == sweeps:
-            now = kept(now, "raked")
-            discarded(last)
-            last = now
+    now = kept(now, "raked")
+    for name in [name for _ in range(sweeps) for name in targets]:
+        sums = now.groupBy(name).agg(F.sum("wanted").alias("sum"))
+        factor = F.when(F.col("sum") > 0, F.col(f"goal_{name}") / F.col("sum"))
+        scaled = F.col("wanted") * F.coalesce(factor, F.lit(0.0))
+        last, columns = now, now.columns
+        now = now.join(sums, name).withColumn("wanted", F.least(F.col("tokens").cast("double"), scaled))
+        now = kept(now.select(*columns), "raked")
+        discarded(last)
     return now.select(*targets, "tokens", "wanted")
 
 
@@ -103,6 +103,7 @@ def draws(
     doc_id: str = "doc_id",
     text: str = "text",
     topics: Sequence[tuple[str, str]] = TOPICS,
+    topic: str | None = None,
 ) -> DataFrame:
     """The result of :func:`mix` with the ``key`` that each row was drawn by."""
     body = whole_text(text)
@@ -111,7 +112,9 @@ def draws(
             F.col(doc_id).cast("long").alias("doc_id"),
             F.coalesce(F.col("source").cast("string"), F.lit(UNKNOWN)).alias("source"),
             F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
-            topic_of(body, topics).alias("topic"),
+            topic_of(body, topics).alias("topic")
+            if topic is None
+            else F.coalesce(F.col(topic).cast("string"), F.lit(UNKNOWN)).alias("topic"),
             tokens(body).alias("n_tokens"),
             record_key(doc_id, text).alias("key"),
         ),
@@ -150,14 +153,19 @@ def mix(docs: DataFrame, *args, **options) -> DataFrame:
     of its id and the seed lies below that, so the same ids are drawn whatever the
     partitioning, and repeated rows alike. A row without an id is drawn by a hash of
     its text. A null source or language is the category ``?``; a null text is empty
-    and counts one token. An empty table gives an empty result. The arguments are
-    those of :func:`draws`.
+    and counts one token. An empty table gives an empty result. ``topics`` are rules of
+    the caller (name and pattern, the first that a text meets counts; the built-in four
+    are an example), or ``topic`` names a column that has the topics, null being ``?``.
+    The arguments are those of :func:`draws`.
     """
     return draws(docs, *args, **options).drop("key")
 
 
 def sampled_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that :func:`mix` samples, all columns."""
+    """The rows of ``docs`` that :func:`mix` samples, all columns.
+
+    Rows that repeat are sampled alike; nulls, empty texts and an empty table as there.
+    """
     drawn = draws(docs, doc_id=doc_id, text=text, **options).where("sampled")
     keys = drawn.select(F.col("key").alias("_key")).distinct()
     rows = docs.select(record_key(doc_id, text).alias("_key"), F.struct("*").alias("_row"))

@@ -101,6 +101,37 @@ def test_index_is_not_shuffled(spark, conf, tmp_path):
     index.close()
 
 
+def test_index_keeps_its_buckets(spark, conf, tmp_path):
+    """A reopened index meets its texts under any number of shuffle partitions."""
+    docs = documents(spark, [(i, f"text {i}") for i in range(200)])
+    first = exact_dedup.DigestIndex(spark, f"{tmp_path}/index", buckets=8)
+    assert exact_dedup.dedup(docs, first, "1").where("kept").count() == 200
+    first.close()
+    for partitions in ("3", "8", "13"):
+        conf("spark.sql.shuffle.partitions", partitions)
+        again = exact_dedup.DigestIndex(spark, f"{tmp_path}/index")
+        assert again.buckets == 8
+        assert exact_dedup.dedup(docs, again, partitions).where("kept").count() == 0
+        assert again.rows().count() == 200
+        again.close()
+    with pytest.raises(ValueError, match="has 8 buckets, not 3"):
+        exact_dedup.DigestIndex(spark, f"{tmp_path}/index", buckets=3)
+    (tmp_path / "index" / "_index").unlink()
+    with pytest.raises(ValueError, match="without a note"):
+        exact_dedup.DigestIndex(spark, f"{tmp_path}/index")
+    old = exact_dedup.DigestIndex(spark, f"{tmp_path}/index", buckets=8)
+    assert exact_dedup.dedup(docs, old, "later").where("kept").count() == 0
+    old.close()
+
+
+def test_mixing_by_a_column_of_topics(spark):
+    docs = documents(spark, [(i, "a b") for i in range(40)]).selectExpr(
+        "*", "CASE WHEN doc_id < 30 THEN 'news' WHEN doc_id < 38 THEN 'law' END AS subject"
+    )
+    found = mixing.mix(docs, topic="subject").collect()
+    assert Counter(r.topic for r in found) == {"news": 30, "law": 8, "?": 2}
+
+
 def test_mixing_odd_rows(spark):
     rows = [(i, t, [None, "en", "de"][n % 3]) for n, (i, t) in enumerate(odd_rows())]
     docs = with_clashes(documents(spark, rows))
