@@ -182,42 +182,66 @@ FROM r JOIN w{last} USING (source, lang, topic)
 def licenses() -> str:
     known = {lic.normal(sentence): name for name, sentence in lic.SENTENCES}
     lookup = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in known.items()) + "}"
+    longest = max(len(sentence.split(" ")) for sentence in known)
+
+    def normal(text: str) -> str:
+        return f"trim(regexp_replace(lower({text}), '{lic.NOT_LETTERS}', ' ', 'g'))"
 
     def ids(text: str) -> str:
         return (
             f"list_filter(list_transform(string_split_regex({text}, '{lic.SENTENCE_END}'),"
-            f" lambda s: {lookup}[trim(regexp_replace(lower(s), '{lic.NOT_LETTERS}', ' ', 'g'))]),"
-            " lambda x: x IS NOT NULL)"
+            f" lambda s: known[{normal('s')}]), lambda x: x IS NOT NULL)"
         )
 
+    # Sentences that begin and end with lines: for each line the longest one from there,
+    # and of these, from the first on, the ones that do not overlap.
+    pieces = (
+        f"list_transform(string_split_regex(regexp_replace(t, '{lic.PARAGRAPH}', '. ', 'g'), '{lic.MARK}'),"
+        f" lambda p: list_filter(list_transform(string_split(p, chr(10)), lambda s: {normal('s')}), lambda s: s <> ''))"
+    )
+    from_line = (
+        f"list_filter(list_transform(range(1, least({longest}, len(l) - i) + 1),"
+        " lambda c: {'at': i, 'until': i + c, 'ids': [known[array_to_string(l[i + 1 : i + c], ' ')]]}),"
+        " lambda m: m.ids[1] IS NOT NULL)[-1]"
+    )
+    runs = (
+        "flatten(list_transform(pieces, lambda l: list_reduce(list_concat("
+        "[{'at': 0::BIGINT, 'until': 0::BIGINT, 'ids': []::VARCHAR[]}],"
+        f" list_filter(list_transform(range(len(l)), lambda i: {from_line}), lambda m: m IS NOT NULL)),"
+        " lambda done, m: CASE WHEN m.at >= done.until"
+        " THEN {'at': m.at, 'until': m.until, 'ids': list_concat(done.ids, m.ids)} ELSE done END).ids))"
+    )
+
     def rules(column: str) -> str:
         """Rules one after another, each on what the ones before have left."""
         steps, rest = [], f"'|' || array_to_string({column}, '||') || '|'"
         for i, (name, sequence) in enumerate(lic.RULES):
             wanted = "".join(f"|{x}|" for x in sequence)
-            steps.append((f"r{i}", rest, wanted, name))
-            rest = f"replace(r{i}, '{wanted}', '')"
-        inner = f"SELECT *, {steps[0][1]} AS r0 FROM {{source}}"
-        for alias, rest, _, _ in steps[1:]:
-            inner = f"SELECT *, {rest} AS {alias} FROM ({inner})"
+            steps.append((f"{column}_{i}", rest, wanted, name))
+            rest = f"replace({column}_{i}, '{wanted}', '')"
+        columns = ", ".join(f"{rest} AS {alias}" for alias, rest, _, _ in steps)
         names = ", ".join(
             f"CASE WHEN contains({alias}, '{wanted}') THEN '{name}' END" for alias, _, wanted, name in steps
         )
-        return f"SELECT * EXCLUDE ({', '.join(a for a, *_ in steps)}), [{names}] AS n_{column} FROM ({inner})"
+        # Later columns of a SELECT may use earlier ones by name.
+        return f"{columns}, [{names}] AS n_{column}"
 
     hints = " OR ".join(f"contains(lower(t), '{w}')" for w in lic.HINTS)
     joined = (
         f"regexp_replace(regexp_replace(t, '{lic.PARAGRAPH}', '. ', 'g'), '{lic.BROKEN_LINE}', ' ', 'g')"
     )
     return f"""
-WITH a AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-b AS (SELECT doc_id, {ids('t')} AS ids_lines, {ids(joined)} AS ids_joined, {hints} AS hinted FROM a),
-c AS ({rules('ids_lines').format(source='b')}),
-d AS ({rules('ids_joined').format(source='c')}),
-e AS (SELECT doc_id, hinted,
-        CASE WHEN len(ids_joined) > len(ids_lines) THEN ids_joined ELSE ids_lines END AS ids,
-        list_sort(list_distinct(list_filter(list_concat(n_ids_lines, n_ids_joined), lambda x: x IS NOT NULL))) AS names
-      FROM d)
+WITH catalogue AS MATERIALIZED (SELECT {lookup} AS known),
+a AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+b AS MATERIALIZED (SELECT doc_id, {ids('t')} AS ids_lines, {ids(joined)} AS ids_joined, {pieces} AS pieces, {hints} AS hinted
+      FROM a, catalogue),
+c AS MATERIALIZED (SELECT doc_id, hinted, ids_lines, ids_joined, {runs} AS ids_runs FROM b, catalogue),
+d AS MATERIALIZED (SELECT *, {rules('ids_lines')}, {rules('ids_joined')}, {rules('ids_runs')} FROM c),
+two AS (SELECT *, CASE WHEN len(ids_joined) > len(ids_lines) THEN ids_joined ELSE ids_lines END AS ids_two FROM d),
+e AS (SELECT doc_id, hinted, CASE WHEN len(ids_runs) > len(ids_two) THEN ids_runs ELSE ids_two END AS ids,
+        list_sort(list_distinct(list_filter(list_concat(n_ids_lines, n_ids_joined, n_ids_runs),
+          lambda x: x IS NOT NULL))) AS names
+      FROM two)
 SELECT doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
        coalesce(array_to_string(names, ','), '') AS licenses,
        CASE WHEN len(names) > 0 THEN 'known' WHEN len(ids) > 0 THEN 'sentences'
