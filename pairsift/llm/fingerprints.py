@@ -11,6 +11,7 @@ WORDS = 5  # words of a shingle
 K = 128  # hashes of a sketch
 WHITE = " \t\n\x0b\x0c\r"
 KNOTS = 64
+HASH_BITS = 63  # of a text's hash, which orders texts of one id
 
 
 def word_hashes(text: Column) -> Column:
@@ -84,28 +85,39 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def ranges(docs: DataFrame, doc_id: str, parts: int) -> Column:
-    """The number of the id range of a row; later ranges have larger ids only.
+def text_order(text: Column) -> Column:
+    """A number from 0 that orders the texts of one id, spread evenly whatever they are."""
+    return F.shiftrightunsigned(F.xxhash64(text), 64 - HASH_BITS)
+
+
+def ranges(docs: DataFrame, doc_id: str, order: str, parts: int) -> Column:
+    """The number of the range of a row; later ranges have larger ids, or equal ids and larger ``order``.
 
     The ranges follow the ids' quantiles (at most :data:`KNOTS` numbers come to the
-    driver) and cut the space between two quantiles evenly. Rows without an id come first.
+    driver) and cut the space between two quantiles evenly. An id that is two quantiles
+    has a good share of the rows: it has ranges of its own, cut by ``order``, and so have
+    rows without an id, which come first.
     """
     at = [i / KNOTS for i in range(KNOTS + 1)]
-    found = docs.agg(F.percentile_approx(doc_id, at, 1000)).first()[0]
-    knots = sorted(set(found or []))
-    if len(knots) < 2:
-        return F.when(F.col(doc_id).isNull(), -1).otherwise(0)
-    cuts = -(-parts // (len(knots) - 1))
+    found = docs.agg(F.percentile_approx(doc_id, at, 1000)).first()[0] or []
+    knots = sorted(set(found))
+    hot = [knot for knot in knots if found.count(knot) > 1]
+    bits = max(1, parts).bit_length()
+    within = F.shiftright(order, HASH_BITS - bits)
+    if not knots:
+        return within
+    own = F.col(doc_id)
+    cuts = -(-parts // max(1, len(knots) - 1))
     edges = F.array(*map(F.lit, knots))
-    knot = F.least(
-        F.greatest(F.size(F.filter(edges, lambda e: e <= F.col(doc_id))), F.lit(1)),
-        F.lit(len(knots) - 1),
-    )
-    low, high = F.element_at(edges, knot), F.element_at(edges, knot + 1)
-    width = high.cast("double") - low.cast("double")
-    inside = F.floor((F.col(doc_id).cast("double") - low.cast("double")) / width * cuts)
-    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(cuts - 1))
-    return F.when(F.col(doc_id).isNull(), -1).otherwise((knot * cuts + inside).cast("int"))
+    knot = F.greatest(F.size(F.filter(edges, lambda e: e <= own)), F.lit(1))
+    low, high = F.element_at(edges, knot), F.element_at(edges, F.least(knot + 1, F.lit(len(knots))))
+    width = F.greatest(high.cast("double") - low.cast("double"), F.lit(1.0))
+    inside = F.floor((own.cast("double") - low.cast("double")) / width * cuts)
+    inside = F.least(F.greatest(inside, F.lit(0)), F.lit(cuts - 1)) + 1
+    is_hot = own.isin(hot) if hot else F.lit(False)
+    base = knot * (cuts + 1) + F.when(is_hot, 0).otherwise(inside)
+    cut = F.when(own.isNull(), within).otherwise(F.shiftleft(base.cast("long"), bits) + F.when(is_hot, within).otherwise(0))
+    return cut.cast("long")
 
 
 def compare_with_edits(
@@ -117,31 +129,35 @@ def compare_with_edits(
     near_next``: the edited text has its last floor(n_chars/2) code points replaced by
     the first as many of the next document in order of the id, the first one following
     the last. Rows without an id come first; rows with equal ids follow in order of
-    their texts. A null text is empty. A single row is its own next one, an empty
-    table gives an empty result; other columns are not read.
+    their texts' hashes, then of their texts. A null text is empty. A single row is its
+    own next one, an empty table gives an empty result; other columns are not read.
 
     Rows are dealt out by ``parts`` ranges of ids (default: four per shuffle
-    partition). Each range also gets the first row of the one after it, so no task
-    needs more than its range.
+    partition), and rows without an id, or of an id that many rows have, by as many
+    ranges of the hash. Each range also gets the first row of the one after it, so no
+    task needs more than its range. Rows equal in both id and text lie in one range.
     """
     spark = docs.sparkSession
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    rows = rows.withColumn("part", ranges(rows, "doc_id", parts))
-    first = rows.groupBy("part").agg(F.min("doc_id").alias("first_id"))
-    # One row per range, at most ``parts`` and a few.
+    rows = rows.withColumn("place", text_order(F.col("text")))
+    rows = rows.withColumn("part", ranges(rows, "doc_id", "place", parts))
+    first = rows.groupBy("part").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    # One row per range, at most a few times ``parts`` and a few.
     by_part = Window.orderBy("part")
     follower = F.when(
-        F.lead("part").over(by_part).isNotNull(), F.lead("first_id").over(by_part)
-    ).otherwise(F.first("first_id").over(by_part))
-    border = first.select(F.col("part").alias("into"), follower.alias("next_id"))
+        F.lead("part").over(by_part).isNotNull(), F.lead("first").over(by_part)
+    ).otherwise(F.first("first").over(by_part))
+    border = first.select(F.col("part").alias("into"), follower.alias("next"))
+    border = border.select("into", F.col("next.doc_id").alias("next_id"), F.col("next.place").alias("next_place"))
     guests = rows.join(
-        F.broadcast(border), F.col("doc_id").eqNullSafe(F.col("next_id"))
-    ).select("doc_id", "text", F.col("into").alias("part"), F.lit(1).alias("guest"))
+        F.broadcast(border),
+        F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("place") == F.col("next_place")),
+    ).select("doc_id", "text", "place", F.col("into").alias("part"), F.lit(1).alias("guest"))
 
     dealt = rows.withColumn("guest", F.lit(0)).unionByName(guests).repartition("part")
     dealt = with_sketch(dealt, "text", "sketch", k)
-    order = Window.partitionBy("part").orderBy("guest", "doc_id", "text")
+    order = Window.partitionBy("part").orderBy("guest", "doc_id", "place", "text")
     paired = dealt.select(
         "doc_id", "text", "sketch", "guest",
         F.lead("text").over(order).alias("next_text"),

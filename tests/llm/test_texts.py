@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
+import xxhash
 
 from pairsift.llm import byte_bpe, fingerprints, queries, recompression, substrings, word_pieces
 from tests.llm.helpers import documents, got, odd_rows, with_clashes, words_of
@@ -101,6 +104,33 @@ def test_piece_counts_of_odd_rows(spark):
     assert got(result) == sorted(expect, key=repr)
 
 
+def test_piece_counts_with_the_real_vocabulary(spark):
+    """All documents of a table, word by word against the longest piece that fits, again and again."""
+    folder = "/root/testdata/sf0.001"
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(queries.PIECES))
+    plain = [i for i in range(model.get_piece_size()) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))]
+    vocabulary, known = {model.id_to_piece(i) for i in plain}, {}
+    longest = max(map(len, vocabulary))
+
+    def pieces(word):
+        if word not in known:
+            at, count = 0, 0
+            while at < len(word):
+                size = next((n for n in range(min(longest, len(word) - at), 0, -1) if word[at : at + n] in vocabulary), 0)
+                if not size:
+                    count = 0
+                    break
+                at, count = at + size, count + 1
+            known[word] = count
+        return known[word]
+
+    expect = []
+    for row in spark.read.parquet(f"{folder}/documents.parquet").collect():
+        counts = [pieces("▁" + word) for word in words_of(row.text)]
+        expect.append((row.doc_id, len(counts), sum(n or 1 for n in counts), counts.count(0)))
+    assert got(queries.op7_token_counts(spark, folder)) == sorted(expect, key=repr)
+
+
 def shingles(text):
     words = words_of(text)
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
@@ -112,7 +142,7 @@ def test_fingerprints(spark, conf):
     k = 1 << 16  # all shingles: the estimates are exact
     docs = with_clashes(documents(spark, rows))
     found = fingerprints.compare_with_edits(docs, k=k, parts=5).collect()
-    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    ordered = in_order(rows)
     expect = []
     for at, (doc_id, text) in enumerate(ordered):
         following = ordered[(at + 1) % len(ordered)][1]
@@ -129,6 +159,65 @@ def test_fingerprints(spark, conf):
     assert sorted(plain, key=repr) == sorted(expect, key=repr)
 
 
+def in_order(rows):
+    """By id, rows without one first; rows of one id by the hash of their text."""
+    place = lambda text: xxhash.xxh64_intdigest(text.encode(), 42) >> 1
+    return sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, place(r[1]), r[1]))
+
+
+def signed(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def sketch_of(text, k=128):
+    """The least hashes of the shingles, hashed word by word and then number by number."""
+    words = [signed(xxhash.xxh64_intdigest(word.encode(), 42)) for word in words_of(text)]
+    found = set()
+    for shingle in [words[i : i + 5] for i in range(max(1, len(words) - 4))] if words else []:
+        value = 42
+        for number in shingle:
+            value = xxhash.xxh64_intdigest(number.to_bytes(8, "little", signed=True), value)
+        found.add(signed(value))
+    return sorted(found)[:k]
+
+
+def test_fingerprint_strings(spark):
+    rows = odd_rows()
+    found = fingerprints.compare_with_edits(documents(spark, rows)).collect()
+    ordered, expect = in_order(rows), []
+    near = lambda a, b: len(set(a) & set(b) & set(union)) / len(union) if (union := sorted({*a, *b})[:128]) else 1.0
+    text_of = lambda sketch: "".join(f"{h % (1 << 64):016X}" for h in sketch)
+    for at, (doc_id, text) in enumerate(ordered):
+        following = ordered[(at + 1) % len(ordered)][1]
+        half = len(text) // 2
+        own, edited = sketch_of(text), sketch_of(text[: len(text) - half] + following[:half])
+        numbers = round(near(own, edited), 9), round(near(own, sketch_of(following)), 9)
+        expect.append((doc_id, text_of(own), text_of(edited), *numbers))
+    plain = [(r.doc_id, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in found]
+    assert sorted(plain, key=repr) == sorted(expect, key=repr)
+
+
+@pytest.mark.parametrize("hot", [None, 77])
+def test_many_rows_of_one_id_are_cut(spark, hot):
+    """A third of the rows have no id, or the same one: they are many ranges, and the order holds."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i} of some words") for i in range(1500)]
+    docs = documents(spark, rows).selectExpr("doc_id", "text")
+    docs = docs.withColumn("place", fingerprints.text_order(docs.text))
+    cut = docs.withColumn("part", fingerprints.ranges(docs, "doc_id", "place", 16)).collect()
+    sizes = sorted(Counter(r.part for r in cut).values())
+    assert sizes[-1] <= 4 * sizes[len(sizes) // 2] and sizes[-1] < 100
+    key = lambda r: (r.doc_id is not None, r.doc_id or 0, r.place)
+    ordered = sorted(cut, key=key)
+    assert [r.part for r in ordered] == sorted(r.part for r in cut)
+    found = fingerprints.compare_with_edits(documents(spark, rows), parts=16).collect()
+    by_hand = in_order(rows)
+    expect = []
+    for at, (doc_id, text) in enumerate(by_hand):
+        half = len(text) // 2
+        expect.append((doc_id, sha(text[: len(text) - half] + by_hand[(at + 1) % len(by_hand)][1][:half])))
+    assert sorted(((r.doc_id, r.edited_sha256) for r in found), key=repr) == sorted(expect, key=repr)
+
+
 def test_sketches_estimate(spark):
     rnd = random.Random(4)
     words = [str(rnd.random()) for _ in range(3000)]
