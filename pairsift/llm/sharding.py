@@ -43,7 +43,8 @@ def place(
     grown: Mapping[int, float] | None = None,
     key: str = "doc_id",
     text: str = "text",
-    slot_buckets: int = 1024,
+    slot_buckets: int = 64,
+    cut_bits: int = 4,
 ) -> DataFrame:
     """``key, size, text_crc32, law, shard, slot, grown_shard`` of every row.
 
@@ -51,13 +52,16 @@ def place(
     for comparison (``grown_shard`` is null without it). Only the key decides, so
     rows with one key share a shard. A null key counts as the empty key. ``size``
     is the text's UTF-8 bytes plus 1, a null text having none. ``slot`` numbers a
-    shard's rows from 0 without gaps, by hash bucket of the key and in the bucket by
-    key, checksum and size; rows equal in all three take their slots in any order.
-    An empty table gives an empty result; other columns are not read.
+    shard's rows from 0 without gaps, by hash bucket of the key, the first ``cut_bits``
+    bits of the text's checksum, and then by key, checksum and size; rows equal in all
+    three take their slots in any order. An empty table gives an empty result; other
+    columns are not read.
 
-    No task sees a whole shard: rows are numbered within ``slot_buckets`` buckets
-    per shard and moved by the sizes of the buckets before. Give more buckets for
-    more rows (a bucket is sorted by one task).
+    No task sees a whole shard: rows are numbered within the cuts of ``slot_buckets``
+    buckets per shard and moved by the sizes of the cuts before. The rows of one key, the
+    null key among them, are in one bucket but in all of its cuts, so a key with a third
+    of the rows is many tasks. Give more of both for more rows (a cut is sorted by one
+    task).
     """
     name = F.coalesce(F.col(key).cast("string"), F.lit(""))
     body = whole_text(text)
@@ -70,12 +74,13 @@ def place(
         (winner(name, grown) if grown else F.lit(None)).cast("int").alias("grown_shard"),
         (F.conv(F.substring(F.md5(name), 1, 6), 16, 10).cast("int") % slot_buckets).alias("_bucket"),
     )
-    bucket = ["shard", "_bucket"]
+    rows = rows.withColumn("_cut", F.shiftright("text_crc32", 32 - cut_bits))
+    bucket = ["shard", "_bucket", "_cut"]
     sizes = rows.groupBy(*bucket).agg(F.count("*").alias("_rows"))
-    earlier = Window.partitionBy("shard").orderBy("_bucket").rowsBetween(
+    earlier = Window.partitionBy("shard").orderBy("_bucket", "_cut").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    # One row per shard and bucket, however many documents there are.
+    # One row per shard, bucket and cut, however many documents there are.
     starts = sizes.select(
         *bucket, F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start")
     )

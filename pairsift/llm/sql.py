@@ -118,7 +118,7 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 """
 
 
-def sharding(shards: list[int], grown: list[int], slot_buckets: int = 1024) -> str:
+def sharding(shards: list[int], grown: list[int], slot_buckets: int = 64, cut_bits: int = 4) -> str:
     bids = ", ".join(
         f"-ln((('0x' || substr(md5(k || '|{s}'), 1, 13))::BIGINT + 0.5) / 16.0**13)" for s in grown
     )
@@ -138,7 +138,7 @@ placed AS (SELECT *, list_position(b[:{len(shards)}], list_min(b[:{len(shards)}]
     ('0x' || substr(md5(k), 1, 6))::INTEGER % {slot_buckets} AS bucket FROM bids)
 SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law,
        shard::INTEGER AS shard, grown_shard::INTEGER AS grown_shard,
-       row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot
+       row_number() OVER (PARTITION BY shard ORDER BY bucket, text_crc32 >> {32 - cut_bits}, doc_id, text_crc32, size) - 1 AS slot
 FROM placed
 """
 

@@ -41,6 +41,23 @@ def test_sharding_odd_rows(spark):
     assert all(len(s) == 1 for s in shards.values())
 
 
+@pytest.mark.parametrize("hot", [None, 5])
+def test_a_frequent_key_is_cut(spark, hot):
+    """A third of the rows have one key: no cut that a task sorts has more than a few times the median."""
+    rows = [(hot if i % 3 == 0 else i, f"text {i}") for i in range(6000)]
+    placed = sharding.place(documents(spark, rows), {0: 1.0, 1: 1.0}, slot_buckets=8)
+    found = placed.collect()
+    slots, cuts = defaultdict(list), Counter()
+    for r in found:
+        slots[r.shard].append(r.slot)
+        key = "" if r.doc_id is None else str(r.doc_id)
+        cuts[r.shard, int(hashlib.md5(key.encode()).hexdigest()[:6], 16) % 8, r.text_crc32 >> 28] += 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    sizes = sorted(cuts.values())
+    assert sizes[-1] < 10 * sizes[len(sizes) // 2] and sizes[-1] < 250
+    assert len({r.shard for r in found if r.doc_id == hot}) == 1
+
+
 def test_sharding_follows_weights(spark):
     docs = documents(spark, [(i, "x") for i in range(6000)])
     found = Counter(r.shard for r in sharding.place(docs, {0: 1.0, 1: 2.0, 5: 3.0, 7: 0.0}).collect())
