@@ -116,6 +116,7 @@ def learn(
     docs: DataFrame,
     per_language: int = 1000,
     iterations: int = 15,
+    least: int = 5,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
@@ -124,11 +125,12 @@ def learn(
 
     Languages are counted over all rows. The machines are fitted on a sample that a
     hash of the id draws, about ``per_language`` texts of each language, whose size
-    does not grow with the table. Rows without a text, a letter, a language or an id
-    teach nothing.
+    does not grow with the table. A label that fewer than ``least`` rows have is taken
+    for a mistake and not learnt: each pair of labels of a family trains a machine. Rows
+    without a text, a letter, a language or an id teach nothing.
     """
     able = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    counts = {row[0]: row[1] for row in able.groupBy(lang).count().collect()}
+    counts = {row[0]: row[1] for row in able.groupBy(lang).count().where(F.col("count") >= least).collect()}
     model = Model(list(counts))
     if not counts:
         return model
@@ -190,7 +192,10 @@ def identify(
 def accepted(docs: DataFrame, least_score: float = 0.3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is in a language, all columns.
 
-    Texts that are ``und``, and those for which no language scores ``least_score``, go.
+    Texts that are ``und`` (null and empty ones, and those without a letter, among them),
+    and those for which no language scores ``least_score``, go. Rows that repeat stay or go
+    together. An empty table gives an empty result, and so does one from which no language
+    can be learnt. Columns of any other name are carried along.
     """
     model = learn(docs, doc_id=doc_id, text=text)
     found = predicted(docs.sparkSession, model, whole_text(text))

@@ -1,4 +1,8 @@
+import itertools
+import math
+import unicodedata
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -36,6 +40,59 @@ def test_odd_rows(spark):
     assert all(r.score == 0 for r in found if r.lang_pred == "und")
 
 
+def plain_prediction(model, text):
+    """Counts, a dot product for each duel, and votes; written from the rules, number by number."""
+    if not text or not any(unicodedata.category(c).startswith("L") for c in text):
+        return "und", 0.0
+    letters = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode())
+    letters = b" " + b" ".join(letters.split()) + b" "
+    counts = Counter()
+    for row, length in enumerate((1, 2, 3)):
+        for i in range(len(letters) - length + 1):
+            number = 0
+            for byte in letters[i : i + length]:
+                number = (number * 257 + byte) % 2**32
+            counts[row * 1024 + (number * 2654435761 % 2**32 >> 22)] += 1
+    norm = math.sqrt(sum(counts.values()))
+    vector = {at: math.sqrt(n) / norm for at, n in counts.items()}
+
+    def winner(names, label):
+        votes, margins, sure = Counter(), Counter(), dict.fromkeys(names, 1.0)
+        for a, b in itertools.combinations(names, 2):
+            weights, intercept = model.machines[label + a, label + b]
+            margin = sum(x * weights[at] for at, x in vector.items()) + intercept
+            for name, own in ((a, margin), (b, -margin)):
+                votes[name] += own > 0
+                margins[name] += own
+                sure[name] = min(sure[name], 1 / (1 + math.exp(-max(-50, min(50, 4 * own)))))
+        best = max(names, key=lambda name: (votes[name], margins[name], name))
+        return best, sure[best]
+
+    family, first = winner(sorted(model.groups), "family ")
+    lang, second = winner(model.groups[family], "")
+    return lang, first * second
+
+
+def test_prediction_of_a_fitted_model(spark):
+    """Every document of a table, and odd rows, against plain dot products."""
+    docs = table(spark, FOLDER, "documents")
+    model = language.learn(docs, per_language=200)
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + odd_rows() + [(9001, "123 ... 456")]
+    found = {(r.doc_id, r.lang_pred, r.score) for r in language.identify(documents(spark, rows), model).collect()}
+    scores = {}
+    for doc_id, lang, score in found:
+        scores.setdefault((doc_id, lang), []).append(score)
+    for doc_id, text in rows:
+        lang, score = plain_prediction(model, text)
+        assert any(abs(score - other) < 2e-6 for other in scores[doc_id, lang]), (doc_id, lang, score)
+
+
+def test_rare_labels_are_not_learnt(spark):
+    docs = documents(spark, [(i, "some words here", "en") for i in range(40)] + [(i, "altre parole", "it") for i in range(40, 43)])
+    assert set(sum(language.learn(docs).groups.values(), [])) == {"en"}
+    assert set(sum(language.learn(docs, least=1).groups.values(), [])) == {"en", "it"}
+
+
 def test_nothing_to_learn(spark):
     docs = documents(spark, [(1, None), (2, "text", None), (3, "")])
     assert {r.lang_pred for r in language.identify(docs).collect()} == {"und"}
