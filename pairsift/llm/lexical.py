@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairsift.llm.common import kept, whole_text
+from pairsift.operators.filters import PART_BITS
 from pairsift.stages import discarded
 
 K = 50
@@ -150,10 +151,13 @@ def ranked(postings: pa.Table, items: pa.Table, k: int, n_docs: int, length: int
 
 def filter_of(terms: DataFrame) -> bytes:
     """A map of FILTER_BITS bits, one or more of which every term sets; no larger for more terms."""
-    bit = (F.crc32("term") % FILTER_BITS).cast("int").alias("bit")
+    bit = F.crc32("term") % FILTER_BITS
+    part = F.floor(bit / PART_BITS).cast("int").alias("part")
+    maps = terms.groupBy(part).agg(F.bitmap_construct_agg(bit % PART_BITS).alias("bits"))
     bits = bytearray(FILTER_BITS // 8)
-    for row in terms.select(bit).distinct().collect():  # at most FILTER_BITS rows
-        bits[row["bit"] >> 3] |= 1 << (row["bit"] & 7)
+    for row in maps.collect():  # at most FILTER_BITS / PART_BITS rows
+        begin = row["part"] * PART_BITS // 8
+        bits[begin : begin + PART_BITS // 8] = row["bits"]
     return bytes(bits)
 
 
