@@ -163,19 +163,18 @@ def pair_runs(ranked: DataFrame, open_end: bool = True) -> DataFrame:
     its number in the pair's own order, in one shuffle by pair: a group has one row per
     decade. A pair without a decade is left out.
     """
-    last = ranked.agg(F.max("decade").alias("end"))  # one row
     days = ranked.where("decade IS NOT NULL").select("w1", "w2", "decade").distinct()
     number = F.row_number().over(Window.partitionBy("w1", "w2").orderBy("decade"))
     islands = days.withColumn("island", F.col("decade") - 10 * number)
     runs = islands.groupBy("w1", "w2", "island").agg(
         F.min("decade").alias("first"), F.max("decade").alias("last"), F.count("*").alias("decades")
     )
-    end = last.first()["end"] if open_end else None
     first, until = F.col("first").cast("string"), F.col("last").cast("string")
-    text = F.when(F.col("last") == F.lit(end), F.concat(first, F.lit("+"))) if end is not None else F.when(F.lit(False), first)
+    at_the_end = F.col("last") == ranked.agg(F.max("decade")).scalar() if open_end else F.lit(False)
+    text = F.when(at_the_end, F.concat(first, F.lit("+")))
     text = text.when(F.col("first") == F.col("last"), first).otherwise(F.concat(first, F.lit("-"), until))
-    listed = F.sort_array(F.collect_list(F.struct("first", text.alias("text"))))
-    return runs.groupBy("w1", "w2").agg(
+    listed = F.sort_array(F.collect_list(F.struct("first", "text")))
+    return runs.withColumn("text", text).groupBy("w1", "w2").agg(
         F.min("first").alias("first_decade"),
         F.max("last").alias("last_decade"),
         F.sum("decades").alias("decades"),
