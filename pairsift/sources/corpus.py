@@ -70,7 +70,12 @@ def bigram_lines(texts_: DataFrame) -> DataFrame:
     pairs = texts_.select(F.inline(neighbours).alias("a", "b"), "year")
     # The last token has no follower.
     pairs = pairs.where("b is not null")
-    return _lines(pairs.select(F.concat_ws(" ", "a", "b").alias("ngram"), "year"))
+    # Nearly every pair is new to its task. Sums of a task would be nearly as many as pairs
+    # and outgrow its memory, so pairs are dealt out first and summed where they meet. The
+    # key is one field of bytes, which holds the smallest rows.
+    key = F.concat_ws("\t", F.concat_ws(" ", "a", "b"), "year").cast("binary").alias("key")
+    counts = pairs.select(key).repartition("key").groupBy("key").agg(F.count("*").alias("cnt"))
+    return counts.select(F.concat_ws("\t", F.col("key").cast("string"), "cnt").alias("value"))
 
 
 def product_lines(lineitem: DataFrame, part: DataFrame) -> tuple[DataFrame, DataFrame]:
